@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination
+from . import decontamination, line_dedup
 
-_MODULES = (decontamination,)
+_MODULES = (decontamination, line_dedup)
 
 
 def queries():
