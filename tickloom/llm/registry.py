@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup
+from . import decontamination, line_dedup, simhash_dedup
 
-_MODULES = (decontamination, line_dedup)
+_MODULES = (decontamination, line_dedup, simhash_dedup)
 
 
 def queries():
