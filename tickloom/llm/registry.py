@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, simhash_dedup
+from . import chat_format, decontamination, line_dedup, simhash_dedup
 
-_MODULES = (decontamination, line_dedup, simhash_dedup)
+_MODULES = (decontamination, line_dedup, simhash_dedup, chat_format)
 
 
 def queries():
