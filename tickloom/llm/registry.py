@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, line_dedup, simhash_dedup
+from . import chat_format, decontamination, line_dedup, simhash_dedup, transducer_bpe
 
-_MODULES = (decontamination, line_dedup, simhash_dedup, chat_format)
+_MODULES = (decontamination, line_dedup, simhash_dedup, chat_format, transducer_bpe)
 
 
 def queries():
