@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, language_id, line_dedup, simhash_dedup, similarity_digest, toxicity, transducer_bpe
+from . import chat_format, decontamination, language_id, line_dedup, simhash_dedup, similarity_digest, toxicity, transducer_bpe, url_filter
 
-_MODULES = (decontamination, line_dedup, simhash_dedup, chat_format, transducer_bpe, language_id, toxicity, similarity_digest)
+_MODULES = (decontamination, line_dedup, simhash_dedup, chat_format, transducer_bpe, language_id, toxicity, similarity_digest, url_filter)
 
 
 def queries():
