@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import materialise, publish, slices, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-LEXICON_WORDS = 150_000
+LEXICON_WORDS = 300_000
 #: Longer words (in bytes) are left to the merges.
 WORD_BYTES = 48
 BATCH_CHARS = 1_500_000
@@ -47,15 +47,17 @@ COUNTED = 200_000
 #: Merged words that a worker remembers.
 REMEMBERED = 200_000
 
-#: Contractions of the vocabulary's word pattern (fixed values).
-_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+#: Contractions of the vocabulary's word pattern (fixed values), without their apostrophe.
+_CONTRACTIONS = "s|t|re|ve|m|ll|d"
+#: Classes of code points beyond the basic plane make a pattern slow; few texts need them.
+_BASIC = 0xFFFF
 
 
-def _char_class(test) -> str:
-    """Code points that pass the test, as the inside of a character class."""
+def _char_class(test, top: int) -> str:
+    """Code points up to ``top`` that pass the test, as the inside of a character class."""
     out, start = [], None
-    for cp in range(sys.maxunicode + 2):
-        ok = cp <= sys.maxunicode and test(chr(cp))
+    for cp in range(top + 2):
+        ok = cp <= top and test(chr(cp))
         if ok and start is None:
             start = cp
         elif not ok and start is not None:
@@ -65,19 +67,21 @@ def _char_class(test) -> str:
 
 
 @cache
-def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
-    """Words of an ASCII text, words of any text, and code points that Python doesn't know."""
+def _patterns(top: int) -> tuple[re.Pattern, re.Pattern]:
+    """Words of a text with code points up to ``top``; code points that Python doesn't know."""
     kind = unicodedata.category
-    letter = _char_class(lambda c: kind(c)[0] == "L")
-    number = _char_class(lambda c: kind(c)[0] == "N")
-    blank = _char_class(lambda c: c.isspace() and not "\x1c" <= c <= "\x1f")
+    letter = _char_class(lambda c: kind(c)[0] == "L", top)
+    number = _char_class(lambda c: kind(c)[0] == "N", top)
+    blank = _char_class(lambda c: c.isspace() and not "\x1c" <= c <= "\x1f", top)
     return (
-        re.compile(rf"{_CONTRACTIONS}|[a-z]+|[0-9]|[^\x09-\x0d a-z0-9]+"),
-        re.compile(rf"{_CONTRACTIONS}|[{letter}]+|[{number}]|[^{blank}{letter}{number}]+"),
-        re.compile(f"[{_char_class(lambda c: kind(c) == 'Cn')}]"),
+        re.compile(rf"[{letter}]+|'(?:{_CONTRACTIONS})|[{number}]|[^{blank}{letter}{number}]+"),
+        re.compile(f"[{_char_class(lambda c: kind(c) == 'Cn', top)}]"),
     )
 
 
+_ascii_words = re.compile(rf"[a-z]+|'(?:{_CONTRACTIONS})|[0-9]|[^\x09-\x0d a-z0-9]+")
+
+
 class WordBpe:
     """A vocabulary file: words of a text, exact merges of a word, tokens of ids."""
 
@@ -97,9 +101,10 @@ class WordBpe:
         char = _byte_chars()
         self.inner = [vocab[c] for c in char]
         self.final = [vocab[c + suffix] for c in char]
-        self.merges: dict[int, tuple[int, int]] = {}
+        #: a pair of ids -> its rank and, in the low 32 bits, the id that it merges to
+        self.merges: dict[int, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
+            self.merges[vocab[a] << 32 | vocab[b]] = rank << 32 | vocab[a + b]
 
     def words(self, text: str) -> list[str]:
         if self._special is not None and "<" in text and self._special.search(text):
@@ -113,9 +118,10 @@ class WordBpe:
         return self._words(text)
 
     def _words(self, text: str) -> list[str]:
-        ascii_words, words, unknown = _patterns()
         if text.isascii():
-            return ascii_words.findall(text.lower())
+            return _ascii_words.findall(text.lower())
+        basic = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
+        words, unknown = _patterns(_BASIC if basic else sys.maxunicode)
         if unknown.search(text):
             return self._library_words(text)
         # the tokenizers library lower-cases each character by itself: no final sigma
@@ -138,14 +144,15 @@ class WordBpe:
         return self._merge_long(ids) if len(ids) > 200 else self._merge_short(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        get, none = self.merges.get, (1 << 40, -1)
+        get, none = self.merges.get, 1 << 62
         pairs = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while pairs:
             least = min(pairs)
-            if least[1] < 0:
+            if least == none:
                 break
             i = pairs.index(least)
-            ids[i : i + 2] = [least[1]]
+            ids[i] = least & 0xFFFFFFFF
+            del ids[i + 1]
             del pairs[i]
             if i < len(pairs):
                 pairs[i] = get(ids[i] << 32 | ids[i + 1], none)
@@ -161,7 +168,7 @@ class WordBpe:
         def offer(i: int) -> None:
             j = after[i]
             if j < n and (m := get(ids[i] << 32 | ids[j])) is not None:
-                heapq.heappush(heap, (m[0], i, ids[i], ids[j], m[1]))
+                heapq.heappush(heap, (m >> 32, i, ids[i], ids[j], m & 0xFFFFFFFF))
 
         for i in range(n - 1):
             offer(i)
