@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, language_id, line_dedup, simhash_dedup, similarity_digest, toxicity, transducer_bpe, url_filter
+from . import (
+    chat_format,
+    decontamination,
+    language_id,
+    line_dedup,
+    simhash_dedup,
+    similarity_digest,
+    token_files,
+    toxicity,
+    transducer_bpe,
+    url_filter,
+)
 
-_MODULES = (decontamination, line_dedup, simhash_dedup, chat_format, transducer_bpe, language_id, toxicity, similarity_digest, url_filter)
+_MODULES = (
+    decontamination,
+    line_dedup,
+    simhash_dedup,
+    chat_format,
+    transducer_bpe,
+    language_id,
+    toxicity,
+    similarity_digest,
+    url_filter,
+    token_files,
+)
 
 
 def queries():

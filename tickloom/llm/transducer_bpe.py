@@ -90,7 +90,7 @@ class WordBpe:
             spec = json.load(f)
         model = spec["model"]
         vocab = model["vocab"]
-        suffix = model["end_of_word_suffix"]
+        suffix = self.suffix = model["end_of_word_suffix"]
         self.path = path
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = re.compile("|".join(f"({re.escape(t)})" for t in self.special)) if self.special else None
