@@ -262,7 +262,7 @@ def dealt_in_order(docs: DataFrame, pieces: int) -> DataFrame:
     placed = keyed.withColumn("piece", piece.cast("int")).withColumn("sent", F.explode(sent))
     placed = placed.select("sent.piece", "sent.tail", "doc_id", "key", "text")
     return (
-        placed.repartition(pieces, "piece")
+        placed.repartitionById(pieces, F.col("piece"))
         .sortWithinPartitions("piece", "tail", "key", "text")
         .select("piece", "tail", "doc_id", "text")
     )
@@ -283,7 +283,7 @@ def _followed(batches):
 def fingerprint_with_next(docs: DataFrame, pieces: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
-    pieces = pieces or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rank = rarity(docs)
     kind = docs.schema["doc_id"].dataType
 
