@@ -103,3 +103,29 @@ def slices(lengths: Sequence[int | None], most: int) -> Iterator[tuple[int, int]
         total += n or 0
     if len(lengths) > start:
         yield start, len(lengths)
+
+
+def id_key(doc_id: str = "doc_id") -> Column:
+    """The id as a long that orders rows, null before all."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
+
+
+def id_bounds(docs: DataFrame, pieces: int) -> list[int]:
+    """At most pieces - 1 ids that part the documents into runs of like number, from the ids alone."""
+    shares = [i / pieces for i in range(1, pieces)]
+    if not shares:
+        return []
+    found = docs.select(id_key().alias("key")).agg(F.percentile_approx("key", shares, 10_000).alias("b")).first()
+    return sorted({int(b) for b in found["b"] or []})
+
+
+def piece_of(key: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are <= key, looked up in two steps."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    count = lambda a: F.size(F.filter(a, lambda b: b <= key))
+    longs = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    group = count(longs(bounds[::step]))
+    inner = F.array(*[longs(bounds[i : i + step]) for i in range(0, len(bounds), step)])
+    return F.when(group == 0, 0).otherwise((group - 1) * step + count(F.get(inner, group - 1)))

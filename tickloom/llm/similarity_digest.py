@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import id_bounds, id_key, piece_of, slices, table
 
 WINDOW = 16
 #: Of a text of fewer bytes, every window of SHORT_WINDOW bytes is a feature.
@@ -228,29 +228,16 @@ def edited(text: str, following: str) -> str:
 # -- each document beside the next --------------------------------------------------------------
 
 
-def _pieces(key: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are <= key, looked up in two steps."""
-    step = max(1, int(len(bounds) ** 0.5))
-    count = lambda a: F.size(F.filter(a, lambda b: b <= key))
-    longs = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    group = count(longs(bounds[::step]))
-    inner = F.array(*[longs(bounds[i : i + step]) for i in range(0, len(bounds), step)])
-    return F.when(group == 0, 0).otherwise((group - 1) * step + count(F.get(inner, group - 1)))
-
-
 def dealt_in_order(docs: DataFrame, pieces: int) -> DataFrame:
     """piece, tail, doc_id, text: runs of documents in order of id, each ended by its successor.
 
     Pieces start at ids of documents, so a piece's successor is the document of the next bound, sent
     to both; the last piece is followed by the first document.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("key"))
-    shares = [i / pieces for i in range(1, pieces)]
-    facts = keyed.agg(F.min("key").alias("first"), F.percentile_approx("key", shares, 10_000).alias("bounds")).first()
-    bounds = sorted({int(b) for b in facts["bounds"] or []}) or [0]
-    first = facts["first"] if facts["first"] is not None else 0
-    piece = _pieces(F.col("key"), bounds)
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), id_key().alias("key"))
+    bounds = id_bounds(docs, pieces) or [0]
+    first = keyed.agg(F.min("key")).first()[0]
+    piece = piece_of(F.col("key"), bounds)
     row = lambda p, tail: F.struct(p.cast("int").alias("piece"), F.lit(tail).alias("tail"))
     starts = F.get(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("piece") - 1) == F.col("key")
     none = F.array().cast("array<struct<piece:int,tail:int>>")

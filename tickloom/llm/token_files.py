@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path, slices, table
-from .transducer_bpe import WordBpe
+from .common import id_bounds, id_key, piece_of, shared_path, slices, table
+from .transducer_bpe import WordBpe, ranges
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -36,7 +36,7 @@ BLOCK = 1024
 #: Characters of the texts of a segment, one text at least.
 SEGMENT_CHARS = 1_000_000
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: New words that go to the library as one text, parted by spaces.
 LINE = 1_000
 
@@ -55,16 +55,20 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     ends = np.minimum(starts + block, n)
     owner_end = np.repeat(ends, ends - starts)
     # how many values from each place fit the best packing; a block's last word may be part-filled
-    left = owner_end - np.arange(n)
-    need = np.zeros(n, np.uint8)  # the tightest packing that holds a value, from the last on
+    left = (owner_end - np.arange(n)).astype(np.int32)
+    most = int(values.max()) if n else 0
+    small = values.astype(np.uint32) if most < 1 << 32 else values
+    need = np.zeros(n, np.uint8)  # the tightest packing that holds a value
     for _, bits in PACKINGS:
-        need += values >= np.uint64(1) << np.uint64(bits)
-    take, selector = np.ones(n, np.int64), np.zeros(n, np.int64)
-    for i in reversed(range(len(PACKINGS))):
+        if most >> bits:
+            need += small >= small.dtype.type(1 << bits)
+    # the tightest packing that holds all of them fits everywhere; looser ones take fewer
+    whole = sum(1 for _, bits in PACKINGS if most >> bits)
+    take, selector = np.ones(n, np.int32), np.zeros(n, np.int8)
+    if whole < len(PACKINGS):
+        take, selector = np.minimum(PACKINGS[whole][0], left), np.full(n, whole + 1, np.int8)
+    for i in reversed(range(whole)):
         count, fit = PACKINGS[i][0], np.flatnonzero(need <= i)
-        if len(fit) == n:  # all that remains is whether the block ends first
-            take, selector = np.minimum(count, left), np.full(n, i + 1)
-            continue
         stop = np.flatnonzero(np.diff(fit) != 1)
         stop = np.append(fit[stop], fit[-1:]) + 1  # behind each run of values that fit
         run = np.repeat(stop, np.diff(np.concatenate(([0], np.searchsorted(fit, stop))))) - fit
@@ -95,11 +99,16 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
             words[word_at[mine] + 1] = values[place[mine]]
             continue
         count, bits = PACKINGS[s - 1]
-        word = np.full(len(mine), s, np.uint64)
-        for k in range(count):
-            value = np.where(k < take[place[mine]], padded[place[mine] + k], np.uint64(0))
-            word |= value << np.uint64(4 + k * bits)
-        words[word_at[mine]] = word
+        at, n_taken = place[mine], take[place[mine]]
+        for full, some in ((True, np.flatnonzero(n_taken == count)), (False, np.flatnonzero(n_taken < count))):
+            first = at[some]
+            word = np.full(len(some), s, np.uint64)
+            for k in range(count):
+                value = padded[first + k]
+                if not full:
+                    value = np.where(k < n_taken[some], value, np.uint64(0))
+                word |= value << np.uint64(4 + k * bits)
+            words[word_at[mine[some]]] = word
     offsets = np.zeros(len(starts) + 1, np.uint64)
     offsets[1:] = np.cumsum(np.bincount(of, width, len(starts))).astype(np.uint64)
     return np.array([len(starts)], "<u8").tobytes() + offsets.astype("<u8").tobytes() + words.astype("<u8").tobytes()
@@ -163,7 +172,8 @@ class DistinctEncoder:
     """The tokenizers library over the distinct words of many texts.
 
     Words never cross each other in the vocabulary's pattern, and special tokens are words of their
-    own, so the ids of a text are those of its words, one after the other.
+    own, so the ids of a text are those of its words, one after the other. Words are remembered, and
+    of too many those that were met least.
     """
 
     def __init__(self, path: str):
@@ -177,12 +187,31 @@ class DistinctEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.pool = np.zeros(0, np.int64)
-        self.start = self.size = np.zeros(0, np.int64)
+        self.words = pa.array([], pa.string())
+        self.start = self.size = self.met = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
+
+    def _learn(self, fresh: pa.StringArray) -> None:
+        ends = np.append(np.arange(0, len(fresh), LINE), len(fresh))
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fresh), " ").to_pylist()
+        got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in got])
+        size = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        if len(size) != len(fresh):
+            raise AssertionError("the vocabulary's words don't keep apart")
+        self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.met = np.concatenate((self.met, np.zeros(len(size), np.int64)))
+        self.pool = np.concatenate((self.pool, ids))
+        self.words = pa.concat_arrays([self.words, fresh])
+
+    def _forget(self) -> None:
+        """Keep half of what may be remembered, the words met most."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: REMEMBERED // 2])
+        self.words = self.words.take(pa.array(keep))
+        self.pool = self.pool[ranges(self.start[keep], self.size[keep])]
+        self.size, self.met = self.size[keep], self.met[keep] // 2
+        self.start = np.cumsum(self.size) - self.size
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts and how many each has."""
@@ -193,29 +222,27 @@ class DistinctEncoder:
             words += got
             counts.append(len(got))
         if not words:
-            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         coded = pa.array(words, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.slots) > REMEMBERED:
-            self.forget()
-        slots = self.slots
-        fresh = [w for w in distinct if w not in slots]
-        if fresh:
-            lines = [" ".join(fresh[i : i + LINE]) for i in range(0, len(fresh), LINE)]
-            got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-            ids = np.concatenate([np.array(e.ids, np.int64) for e in got])
-            size = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
-            if len(size) != len(fresh):
-                raise AssertionError("the vocabulary's words don't keep apart")
-            slots.update(zip(fresh, range(len(slots), len(slots) + len(fresh))))
-            self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(size) - size))
-            self.size = np.concatenate((self.size, size))
-            self.pool = np.concatenate((self.pool, ids))
-        index = np.fromiter(map(slots.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        del words
+        if len(self.words) > REMEMBERED:
+            self._forget()
+        distinct = coded.dictionary
+        slots = pc.index_in(distinct, value_set=self.words)
+        if slots.null_count:
+            known = len(self.words)
+            fresh = slots.is_null()
+            self._learn(distinct.filter(fresh))
+            fresh = fresh.to_numpy(zero_copy_only=False)
+            slots = slots.fill_null(0).to_numpy().astype(np.int64)
+            slots[fresh] = np.arange(known, len(self.words))
+        else:
+            slots = slots.to_numpy().astype(np.int64)
+        self.met[slots] += 1
+        index = slots[coded.indices.to_numpy()]
         each = self.size[index]
-        ends = np.cumsum(each)
-        flat = self.pool[np.repeat(self.start[index] - (ends - each), each) + np.arange(ends[-1])]
-        edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+        flat = self.pool[ranges(self.start[index], each)]
+        edges = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
         return flat, np.diff(edges)
 
 
@@ -232,8 +259,13 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY,
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    # bounds from the ids alone: a range partitioning would read the texts once more to sample them
+    part = piece_of(id_key(), id_bounds(docs, parts)).cast("int")
     ordered = (
-        docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+        docs.select("doc_id", "text", part.alias("part"))
+        .repartitionById(parts, F.col("part"))
+        .sortWithinPartitions("doc_id", "text")
+        .select("doc_id", "text")
     )
 
     def run(batches):
@@ -262,53 +294,57 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY,
     ).write.parquet(path)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), token_ids array<long>, in no order of rows."""
+def map_token_files(spark: SparkSession, path: str, use, schema: str) -> DataFrame:
+    """Rows that ``use(doc_ids, starts, sizes, ids)`` makes of each segment, as an Arrow batch."""
     files = spark.read.parquet(path)
     sizes = files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()  # a row for each part
     base, total = {}, 0
     for row in sorted(sizes):
         base[row["part"]] = total
         total += row["n"]
-    kind = files.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
                 part, _, first, n, doc_ids, lengths, payload = (c[row] for c in batch.columns)
-                ids = unpack(payload.as_py(), n.as_py())
-                sizes = lengths.values.to_numpy()
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        doc_ids.values,
-                        pa.array(base[part.as_py()] + first.as_py() + ends[:-1]),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int64))),
-                    ],
-                    names=["doc_id", "start", "token_ids"],
-                )
+                lengths = lengths.values.to_numpy()
+                starts = base[part.as_py()] + first.as_py() + np.cumsum(lengths) - lengths
+                yield use(doc_ids.values, starts, lengths, unpack(payload.as_py(), n.as_py()))
 
-    return files.mapInArrow(run, f"doc_id {kind}, start long, token_ids array<long>")
+    return files.mapInArrow(run, schema)
 
 
-def _checked(batches):
-    for batch in batches:
-        ids = batch.column(2)
-        flat = ids.flatten().to_numpy().astype("<u4")
-        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(ids).to_numpy())))
-        sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.diff(ends), pa.int64()), pa.array(sums, pa.int64())],
-            names=["doc_id", "start", "n_tokens", "ids_crc32"],
-        )
+def _id_type(files: DataFrame) -> str:
+    return files.schema["doc_ids"].dataType.elementType.simpleString()
+
+
+def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start (ids of all documents before), token_ids array<long>, in no order of rows."""
+
+    def rows(doc_ids, starts, sizes, ids):
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int64)))
+        return pa.RecordBatch.from_arrays([doc_ids, pa.array(starts), lists], names=["doc_id", "start", "token_ids"])
+
+    kind = _id_type(spark.read.parquet(path))
+    return map_token_files(spark, path, rows, f"doc_id {kind}, start long, token_ids array<long>")
+
+
+def _checked(doc_ids, starts, sizes, ids):
+    flat = ids.astype("<u4")
+    ends = np.cumsum(sizes)
+    sums = [zlib.crc32(flat[a:b]) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+    return pa.RecordBatch.from_arrays(
+        [doc_ids, pa.array(starts), pa.array(sizes), pa.array(sums, pa.int64())],
+        names=["doc_id", "start", "n_tokens", "ids_crc32"],
+    )
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path)
-    read = read_token_files(spark, path)
-    kind = read.schema["doc_id"].dataType.simpleString()
-    return read.mapInArrow(_checked, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    kind = _id_type(spark.read.parquet(path))
+    return map_token_files(spark, path, _checked, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 QUERIES = {"op10_token_files": op10_token_files}

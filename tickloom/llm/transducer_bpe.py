@@ -424,16 +424,16 @@ def _encode_words(words: list[str], bpe: WordBpe, lexicon: Lexicon, memory: dict
         merged.append(ids)
         size[i] = len(ids)
     # a pool with the ids of each distinct word: those of the lexicon, then the merged ones
-    pool_held = lexicon.ids[_ranges(lexicon.starts[place[held]], size[held])]
+    pool_held = lexicon.ids[ranges(lexicon.starts[place[held]], size[held])]
     pool = np.concatenate([pool_held, *merged]) if merged else pool_held
     start = np.zeros(n, np.int64)
     start[held] = np.cumsum(size[held]) - size[held]
     start[fresh] = len(pool_held) + np.cumsum(size[fresh]) - size[fresh]
     index = coded.indices.to_numpy()
-    return pool[_ranges(start[index], size[index])], size[index]
+    return pool[ranges(start[index], size[index])], size[index]
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each range, one after the other."""
     ends = np.cumsum(sizes)
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
