@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, materialise, table
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -54,7 +54,9 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         .filter(F.col("n") >= min_docs)
         .select("h", "keeper")
     )
-    # the many rows of one hash meet a single row: a join that can be split where it is skewed
+    # written aside, so that both sides of the join are plain exchanges: where one hash has very
+    # many rows, they can be split, each part meeting the one row of the hash
+    common = materialise(common, "common-lines")
     return (
         keyed.join(common, "h")
         .filter(F.col("_id") < F.col("keeper"))
