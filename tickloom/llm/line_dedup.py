@@ -65,11 +65,11 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     )
 
 
-def _marked(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """The documents with _lost, null where a document loses nothing."""
+def _marked(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, Column]:
+    """The documents beside the places of lines that they lose, null where they lose nothing."""
     lost = repeated_lines(docs.select("doc_id", "text"), min_chars, min_docs)
     same = (docs["doc_id"] == lost["_id"]) & (F.xxhash64(docs["text"]) == lost["_text_hash"])
-    return docs.join(lost, same, "left")
+    return docs.join(lost, same, "left"), lost["_lost"]
 
 
 def _kept(text: Column, lost: Column) -> Column:
@@ -81,11 +81,11 @@ def _kept(text: Column, lost: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (of the lines that stay)."""
-    marked = _marked(docs.select("doc_id", "text"), min_chars, min_docs)
+    marked, lost = _marked(docs.select("doc_id", "text"), min_chars, min_docs)
     kept = marked.select(
         "doc_id",
         F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"),
-        _kept(F.col("text"), F.col("_lost")).alias("kept"),
+        _kept(F.col("text"), lost).alias("kept"),
     )
     return kept.select(
         "doc_id",
@@ -97,8 +97,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
 def dedup_documents(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """All documents in their own columns; texts that lose lines are rewritten, others left as they are."""
-    marked = _marked(docs, min_chars, min_docs)
-    text = F.when(marked["_lost"].isNotNull(), F.array_join(_kept(docs["text"], marked["_lost"]), "\n"))
+    marked, lost = _marked(docs, min_chars, min_docs)
+    text = F.when(lost.isNotNull(), F.array_join(_kept(docs["text"], lost), "\n"))
     return marked.select(
         *[F.coalesce(text, docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns]
     )
