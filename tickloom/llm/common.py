@@ -17,7 +17,17 @@ LOWER_STR = {ord(a): b for a, b in zip(UPPER, LOWER)}
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+#: Session settings for tables whose rows may be long texts: batches between Parquet, the JVM and
+#: Python hold few rows, so their buffers stay small.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.parquet.columnarReaderBatchSize": "256",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

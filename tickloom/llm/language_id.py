@@ -28,7 +28,7 @@ from .common import held_out, slices, table
 TOP = 400
 #: More languages than this are refused, so the profiles that every task gets stay small.
 MOST_LANGUAGES = 2_000
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 #: Distinct n-grams a worker counts before it passes the counts on.
 COUNTED = 1_000_000
 UNKNOWN = "und"

@@ -20,6 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ RADIUS = 2
 BLOCKS = 4
 TILE = 4096
 SEED = 42
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 #: Rows and columns of one exact comparison.
 STEP = 512
 
@@ -74,7 +75,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            sizes = pa.compute.binary_length(texts).to_pylist()
+            sizes = pc.binary_length(texts).to_pylist()
             for start, stop in slices(sizes, BATCH_BYTES):
                 got = [simhash(raw, width) for raw in texts.slice(start, stop - start).to_pylist()]
                 fp = np.array(got, np.uint64).view(np.int64)

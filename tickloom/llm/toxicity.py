@@ -34,12 +34,12 @@ FEATURES = 5_000
 #: Bytes of a word that are features besides the word.
 PREFIXES = (4, 5, 6)
 #: Least significance of a feature, in standard deviations, and least toxic documents with it.
-LEAST_Z = 5.0
+LEAST_Z = 4.0
 LEAST_DOCS = 3
 STEPS = 300
 RATE = 0.05
 DECAY = 1e-3
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 500_000
 
 #: ASCII that is no letter or digit parts words.
 _WORD_BYTES = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
@@ -177,9 +177,7 @@ def learn(
 
     def reduce(batches):
         for batch in batches:
-            got = [
-                [place[f] for f in features_of(t) if f in place] for t in batch.column(1).to_pylist()
-            ]
+            got = [[place[f] for f in features_of(t.as_py()) if f in place] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(got, pa.list_(pa.int32()))], names=["positive", "found"]
             )

@@ -37,15 +37,15 @@ from pyspark.sql import functions as F
 from .common import materialise, publish, slices, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-LEXICON_WORDS = 300_000
+LEXICON_WORDS = 200_000
 #: Longer words (in bytes) are left to the merges.
 WORD_BYTES = 48
-BATCH_CHARS = 1_500_000
-BATCH_IDS = 1_500_000
+BATCH_CHARS = 1_000_000
+BATCH_IDS = 1_000_000
 #: Distinct words a worker counts before it passes the counts on.
 COUNTED = 200_000
 #: Merged words that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 #: Contractions of the vocabulary's word pattern (fixed values), without their apostrophe.
 _CONTRACTIONS = "s|t|re|ve|m|ll|d"
@@ -387,7 +387,7 @@ def build_lexicon(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words:
         if total > lexicon_words:
             break
         least = row["level"]
-    words = [] if least is None else [r[0] for r in counts.filter(level >= least).select("word").collect()]
+    words = [] if least is None else counts.filter(level >= least).select("word").toArrow().column(0).to_pylist()
     bpe = _bpe(vocabulary)
     coded = sorted(w.encode() for w in words)
     return publish(docs.sparkSession, compile_lexicon([(w, bpe.merge(w)) for w in coded]), "lexicon")
