@@ -22,25 +22,25 @@ def at(t):
     return F.lit(t).cast("timestamp")
 
 
-ENGRO = ("ENGRO", D, 481.99, 496.0, 474.01, 481.38, 4496408, False)
+AAA = ("AAA", D, 481.99, 496.0, 474.01, 481.38, 4496408, False)
 
 
 def test_hash_is_the_digest_of_the_joined_fields(spark):
-    text = "ENGRO|2024-01-05|481.9900|496.0000|474.0100|481.3800|4496408|False"
-    assert prices(spark, [ENGRO]).first()["row_hash"] == hashlib.sha256(text.encode()).hexdigest()
-    changed = prices(spark, [(*ENGRO[:5], 999.99, *ENGRO[6:])]).first()["row_hash"]
-    assert changed != prices(spark, [ENGRO]).first()["row_hash"]
+    text = "AAA|2024-01-05|481.9900|496.0000|474.0100|481.3800|4496408|False"
+    assert prices(spark, [AAA]).first()["row_hash"] == hashlib.sha256(text.encode()).hexdigest()
+    changed = prices(spark, [(*AAA[:5], 999.99, *AAA[6:])]).first()["row_hash"]
+    assert changed != prices(spark, [AAA]).first()["row_hash"]
     assert prices(spark, []).columns[-1] == "row_hash"
 
 
 def test_diff_new_changed_same(spark):
-    fresh = prices(spark, [ENGRO, ("LUCK", *ENGRO[1:]), ("OGDC", *ENGRO[1:])])
+    fresh = prices(spark, [AAA, ("BBB", *AAA[1:]), ("CCC", *AAA[1:])])
     rows = fresh.collect()
     current = spark.createDataFrame(
-        [("ENGRO", D, rows[0]["row_hash"]), ("LUCK", D, "stale"), ("GONE", D, "x")], "symbol string, date date, row_hash string"
+        [("AAA", D, rows[0]["row_hash"]), ("BBB", D, "stale"), ("GONE", D, "x")], "symbol string, date date, row_hash string"
     )
     got = {r["symbol"]: r["change"] for r in V.diff(fresh, current, ["symbol", "date"]).collect()}
-    assert got == {"ENGRO": "same", "LUCK": "changed", "OGDC": "new"}
+    assert got == {"AAA": "same", "BBB": "changed", "CCC": "new"}
     gone = V.delisted(fresh, current, ["symbol"])
     assert [r["symbol"] for r in gone.collect()] == ["GONE"]
     nothing = prices(spark, [])
@@ -51,14 +51,14 @@ def test_diff_new_changed_same(spark):
 def test_ingest_keeps_history_and_one_latest_row(spark):
     table = conform(spark.createDataFrame([], STOCK_HISTORY), STOCK_HISTORY)
     keys = ["symbol", "date"]
-    one = V.ingest(table, prices(spark, [ENGRO, ("LUCK", *ENGRO[1:])]), keys, "history_id", at(T0)).cache()
+    one = V.ingest(table, prices(spark, [AAA, ("BBB", *AAA[1:])]), keys, "history_id", at(T0)).cache()
     assert one.count() == 2 and one.filter("is_latest").count() == 2
-    again = V.ingest(one, prices(spark, [ENGRO]), keys, "history_id", at(T1))
+    again = V.ingest(one, prices(spark, [AAA]), keys, "history_id", at(T1))
     assert again.count() == 2
-    two = V.ingest(one, prices(spark, [(*ENGRO[:5], 500.0, *ENGRO[6:])]), keys, "history_id", at(T1)).collect()
-    engro = sorted((r["close"], r["is_latest"], r["superseded_at"] is not None) for r in two if r["symbol"] == "ENGRO")
-    assert engro == [(481.38, False, True), (500.0, True, False)]
-    assert [r["is_latest"] for r in two if r["symbol"] == "LUCK"] == [True]
+    two = V.ingest(one, prices(spark, [(*AAA[:5], 500.0, *AAA[6:])]), keys, "history_id", at(T1)).collect()
+    aaa = sorted((r["close"], r["is_latest"], r["superseded_at"] is not None) for r in two if r["symbol"] == "AAA")
+    assert aaa == [(481.38, False, True), (500.0, True, False)]
+    assert [r["is_latest"] for r in two if r["symbol"] == "BBB"] == [True]
 
 
 def test_supersede_spares_rows_of_this_run(spark):

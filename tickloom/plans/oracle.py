@@ -5,12 +5,10 @@ from __future__ import annotations
 import re
 
 
-def _ema(x: str, alpha: str, n: int) -> str:
-    """A truncated EMA by unrolled lags."""
-    lag = lambda k: f"lag({x}, {k}) over w"
-    top = " + ".join(f"coalesce({lag(k)}, 0) * power(1 - {alpha}, {k})" for k in range(n))
-    base = " + ".join(f"case when {lag(k)} is not null then power(1 - {alpha}, {k}) else 0 end" for k in range(n))
-    return f"({top}) / nullif({base}, 0)"
+def _decayed(x: str, alpha: str, n: int) -> str:
+    """Mean of x over rows b that are less than n before row a, weighted by (1 - alpha)^distance."""
+    weight, near = f"power(1 - {alpha}, a.n - b.n)", f"filter (where a.n - b.n < {n})"
+    return f"sum(b.{x} * {weight}) {near} / sum({weight}) {near}"
 
 
 def _asof(rows: str, date: str, fallback: bool = True) -> str:
@@ -120,9 +118,13 @@ CTES: dict[str, str] = {
         from steps window w as ({_BY}), w14 as ({_BY} rows between 13 preceding and current row),
         w20 as ({_BY} rows between 19 preceding and current row), w50 as ({_BY} rows between 49 preceding and current row),
         w200 as ({_BY} rows between 199 preceding and current row)""",
-    "emas": f"select symbol, date, {_ema('close', '2.0/13', 90)} as ema_12, {_ema('close', '2.0/27', 180)} as ema_26 from latest_prices window w as ({_BY})",
-    "macd_line": "select symbol, date, ema_12, ema_26, ema_12 - ema_26 as macd_line from emas",
-    "macd": f"select *, {_ema('macd_line', '0.2', 90)} as macd_signal from macd_line window w as ({_BY})",
+    "numbered": f"select symbol, date, close, row_number() over ({_BY}) as n from latest_prices",
+    "emas": f"""select a.symbol, a.date, a.n, {_decayed('close', '2.0/13', 90)} as ema_12, {_decayed('close', '2.0/27', 180)} as ema_26
+        from numbered a join numbered b on a.symbol = b.symbol and b.n between a.n - 179 and a.n group by a.symbol, a.date, a.n""",
+    "macd_line": "select symbol, date, n, ema_12, ema_26, ema_12 - ema_26 as macd_line from emas",
+    "macd_signal": f"""select a.symbol, a.date, {_decayed('macd_line', '0.2', 90)} as macd_signal
+        from macd_line a join macd_line b on a.symbol = b.symbol and b.n between a.n - 89 and a.n group by a.symbol, a.date""",
+    "macd": "select l.*, macd_signal from macd_line l join macd_signal using (symbol, date)",
     "int_technical_indicators": """select r.symbol, r.date, r.close, r.daily_return_pct, ma_20, ma_50, ma_200,
         case when l = 0 and g = 0 then null when l = 0 then 100 else 100 - 100 / (1 + g / l) end as rsi_14,
         ma_20 + 2 * sd as bollinger_upper, ma_20 as bollinger_mid, ma_20 - 2 * sd as bollinger_lower,
