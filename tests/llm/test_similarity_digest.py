@@ -96,6 +96,7 @@ def test_every_document_meets_its_successor(spark):
     for pieces in (1, 4, 50):
         got = check(S.fingerprint_with_next(docs(spark, rows, ("piece", "tail", "key")), pieces), rows)
         assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    check(S.fingerprint_with_next(docs(spark, [(None, "null"), (9, "nine"), (5, "five")]), 1), [(None, "null"), (9, "nine"), (5, "five")])
     one = S.fingerprint_with_next(docs(spark, [(1, "alone " * 30)]), 3).first()
     assert one["near_next"] == 1.0
     assert S.fingerprint_with_next(docs(spark, []), 3).count() == 0

@@ -235,8 +235,8 @@ def dealt_in_order(docs: DataFrame, pieces: int) -> DataFrame:
     to both; the last piece is followed by the first document.
     """
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), id_key().alias("key"))
-    bounds = id_bounds(docs, pieces) or [0]
-    first = keyed.agg(F.min("key")).first()[0]
+    first = keyed.agg(F.min("key")).first()[0] or 0
+    bounds = id_bounds(docs, pieces) or [first]  # each bound is the id of a document
     piece = piece_of(F.col("key"), bounds)
     row = lambda p, tail: F.struct(p.cast("int").alias("piece"), F.lit(tail).alias("tail"))
     starts = F.get(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("piece") - 1) == F.col("key")
@@ -260,11 +260,15 @@ def _followed(batches):
     waiting, at = None, None  # the last document of a piece, whose successor has not come yet
     for batch in batches:
         for piece, tail, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if waiting is not None and piece == at:
+            if waiting is not None:
+                if piece != at:
+                    raise AssertionError(f"piece {at} has no successor")
                 yield (*waiting, text)
                 waiting = None
             if not tail:
                 waiting, at = (doc, text), piece
+    if waiting is not None:
+        raise AssertionError(f"piece {at} has no successor")
 
 
 def fingerprint_with_next(docs: DataFrame, pieces: int | None = None) -> DataFrame:
