@@ -42,6 +42,11 @@ def stg_screener(ref) -> DataFrame:
     return ref("screener").withColumnRenamed("sector", "sector_code_raw")
 
 
+def stg_index_price_history(ref) -> DataFrame:
+    """PRJ-1, SRC-8"""
+    return ref("index_prices")
+
+
 def stg_symbols(ref) -> DataFrame:
     """JN-3, WIN-9: attributes with the code of their sector, matched by its normalised name."""
     norm = lambda c: F.upper(F.trim(F.col(c)))
@@ -107,7 +112,7 @@ def fact_sector_daily(ref) -> DataFrame:
 
 def fact_index_ohlcv(ref) -> DataFrame:
     """PRJ-4"""
-    return ref("index_prices").select("index_name", "date", "open", "high", "low", "close", "volume")
+    return ref("stg_index_price_history").select("index_name", "date", "open", "high", "low", "close", "volume")
 
 
 # -- point-in-time -----------------------------------------------------------------------------
