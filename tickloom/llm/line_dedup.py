@@ -6,6 +6,8 @@ most documents share is summed before it is shuffled by its hash. Keys found in
 documents or more lose all lines but those of the largest doc_id. What stays is reassembled by
 position.
 
+Lines are split and hashed as bytes in Arrow batches; counting and joins are Spark's.
+
 Defined cases: a null or empty text is one empty line, which is never a key; a line repeated within
 a document counts once; rows that repeat a doc_id are one document for the counts and each keeps its
 own row; a null doc_id neither counts nor loses lines. Other columns are ignored or, in
@@ -14,38 +16,73 @@ own row; a null doc_id neither counts nor loses lines. Other columns are ignored
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise, table
+from .common import LOWER_BYTES, materialise, slices, table
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 #: White space [\x20\x09-\x0D], stripped from both ends.
-BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
-
-
-def lines_of(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
-
-
-def line_hash(line: Column, min_chars: int) -> Column:
-    """MD5 of the key as 16 bytes; null for a key that is too short to count."""
-    stripped = F.btrim(line, F.lit(BLANK))
-    return F.when(F.length(stripped) >= min_chars, F.unhex(F.md5(ascii_lower(stripped))))
+BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
+BATCH_BYTES = 1_000_000
+#: Spark's xxhash64 of a string: XXH64 with this seed, as a signed long.
+SEED = 42
+
+
+def line_hash(line: bytes, min_chars: int) -> bytes | None:
+    """MD5 of the key; None for a key that is too short to count."""
+    key = line.strip(BLANK)
+    if len(key) < min_chars or (not key.isascii() and len(key.decode()) < min_chars):
+        return None
+    return hashlib.md5(key.translate(LOWER_BYTES)).digest()
+
+
+def _text_hash(raw: bytes) -> int:
+    h = xxhash.xxh64_intdigest(raw, SEED)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    """_id, _text_hash, pos, h: each line that has a key."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
+            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                rows, hashes, places, found = [], [], [], []
+                for i, raw in enumerate(texts.slice(start, stop - start).to_pylist(), start):
+                    if not raw:
+                        continue
+                    got = [(n, h) for n, line in enumerate(raw.split(b"\n")) if (h := line_hash(line, min_chars))]
+                    if got:
+                        rows += [i] * len(got)
+                        hashes += [_text_hash(raw)] * len(got)
+                        places += [n for n, _ in got]
+                        found += [h for _, h in got]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids.take(pa.array(rows, pa.int64())),
+                        pa.array(hashes, pa.int64()),
+                        pa.array(places, pa.int32()),
+                        pa.array(found, pa.binary()),
+                    ],
+                    names=["_id", "_text_hash", "pos", "h"],
+                )
+
+    known = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    return known.mapInArrow(run, f"_id {kind}, _text_hash long, pos int, h binary")
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """_id, _text_hash, _lost: positions of the lines that the document with that text loses."""
-    keyed = (
-        docs.filter(F.col("doc_id").isNotNull())
-        .select(
-            F.col("doc_id").alias("_id"),
-            F.xxhash64("text").alias("_text_hash"),
-            F.posexplode(F.transform(lines_of(F.col("text")), lambda x: line_hash(x, min_chars))).alias("pos", "h"),
-        )
-        .filter(F.col("h").isNotNull())
-    )
+    keyed = line_keys(docs, min_chars)
     common = (
         keyed.select("_id", "h")
         .distinct()
@@ -72,36 +109,57 @@ def _marked(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame,
     return docs.join(lost, same, "left"), lost["_lost"]
 
 
-def _kept(text: Column, lost: Column) -> Column:
-    """The lines that stay, in order."""
-    lines = lines_of(text)
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
-    return F.when(lost.isNotNull(), F.transform(places, lambda i: F.get(lines, i))).otherwise(lines)
+def without_lines(raw: bytes, lost: list[int]) -> tuple[bytes, int, int]:
+    """What stays, the number of lines before, and of lines that went."""
+    lines, gone = raw.split(b"\n"), set(lost)
+    return b"\n".join([x for i, x in enumerate(lines) if i not in gone]), len(lines), len(gone)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (of the lines that stay)."""
     marked, lost = _marked(docs.select("doc_id", "text"), min_chars, min_docs)
-    kept = marked.select(
-        "doc_id",
-        F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"),
-        _kept(F.col("text"), lost).alias("kept"),
-    )
-    return kept.select(
-        "doc_id",
-        "n_lines",
-        (F.col("n_lines") - F.size("kept")).alias("n_dropped"),
-        F.array_join("kept", "\n").alias("text"),
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                raws = texts.slice(start, stop - start).to_pylist()
+                places = batch.column(2).slice(start, stop - start).to_pylist()
+                got = [without_lines(r or b"", p or ()) for r, p in zip(raws, places)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(start, stop - start),
+                        pa.array([g[1] for g in got], pa.int64()),
+                        pa.array([g[2] for g in got], pa.int64()),
+                        pa.array([g[0] for g in got], pa.binary()).cast(pa.string()),
+                    ],
+                    names=["doc_id", "n_lines", "n_dropped", "text"],
+                )
+
+    rows = marked.select("doc_id", "text", lost.alias("lost"))
+    return rows.mapInArrow(run, f"doc_id {kind}, n_lines long, n_dropped long, text string")
 
 
 def dedup_documents(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """All documents in their own columns; texts that lose lines are rewritten, others left as they are."""
     marked, lost = _marked(docs, min_chars, min_docs)
-    text = F.when(lost.isNotNull(), F.array_join(_kept(docs["text"], lost), "\n"))
-    return marked.select(
-        *[F.coalesce(text, docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns]
-    )
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            field = batch.schema.field(at)
+            texts, places = batch.column(at), batch.column(batch.num_columns - 1)
+            kept = [
+                without_lines(t.cast(pa.binary()).as_py(), p.as_py())[0] if p.is_valid and t.is_valid else t.cast(pa.binary()).as_py()
+                for t, p in zip(texts, places)
+            ]
+            columns = [*batch.columns[:-1]]
+            columns[at] = pa.array(kept, pa.binary()).cast(field.type)
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    docs_columns = docs.columns
+    return marked.select(*[docs[c] for c in docs_columns], lost.alias("_lost_lines")).mapInArrow(run, docs.schema)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
