@@ -16,6 +16,7 @@ repeated rows repeat. Other columns are ignored. No row is shuffled but (word, c
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import mmap
@@ -23,7 +24,7 @@ import re
 import sys
 import unicodedata
 from collections import Counter
-from functools import cache
+from functools import cache, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -333,7 +334,7 @@ class Lexicon:
         return np.where(dead | (self.final[state] == 0), -1, place)
 
 
-@cache
+@lru_cache(2)
 def _lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
@@ -439,29 +440,31 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """doc_id, token_ids array<int>."""
-    name = build_lexicon(docs, vocabulary, lexicon_words)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _encoded(texts: pa.Array, bpe: WordBpe, lexicon: Lexicon, memory: dict) -> pa.ListArray:
+    """Lists of the ids of the texts."""
+    words, counts = [], []
+    for text in texts.to_pylist():
+        got = bpe.words(text) if text else []
+        words += got
+        counts.append(len(got))
+    ids, sizes = _encode_words(words, bpe, lexicon, memory)
+    ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
-    def run(batches):
-        bpe, lexicon, memory = _bpe(vocabulary), _lexicon(name), {}
-        for batch in batches:
-            texts = batch.column(1)
-            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_CHARS):
-                words, counts = [], []
-                for text in texts.slice(start, stop - start).to_pylist():
-                    got = bpe.words(text) if text else []
-                    words += got
-                    counts.append(len(got))
-                ids, sizes = _encode_words(words, bpe, lexicon, memory)
-                ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), lists], names=["doc_id", "token_ids"]
-                )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, token_ids array<int>")
+def _decoded(lists: pa.ListArray, tokens: pa.StringArray) -> pa.StringArray:
+    """The tokens of the ids of each list, joined by spaces; a null list is empty."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    good = (ids >= 0) & (ids < len(tokens))
+    ends = np.concatenate(([0], np.cumsum(good)))[np.concatenate(([0], np.cumsum(sizes)))]
+    named = tokens.take(pa.array(ids[good]))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), named), " ")
+
+
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+    """doc_id, token_ids array<int>."""
+    return _coded(docs, vocabulary, lexicon_words, [], "")
 
 
 def decode(coded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -474,33 +477,59 @@ def decode(coded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             lists = batch.column(1)
             for start, stop in slices(pc.list_value_length(lists).to_pylist(), BATCH_IDS):
                 part = lists.slice(start, stop - start)
-                sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy().astype(np.int64)
-                ids = part.flatten().to_numpy(zero_copy_only=False)
-                good = (ids >= 0) & (ids < len(tokens))
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                ends = np.concatenate(([0], np.cumsum(good)))[ends]
-                named = tokens.take(pa.array(ids[good]))
-                text = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), named), " ")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), part, text], names=["doc_id", "token_ids", "text"]
+                    [batch.column(0).slice(start, stop - start), part, _decoded(part, tokens)],
+                    names=["doc_id", "token_ids", "text"],
                 )
 
     return coded.select("doc_id", "token_ids").mapInArrow(run, f"doc_id {kind}, token_ids array<int>, text string")
 
 
-def digests(coded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, token_ids, n_tokens, ids_sha256, decoded_sha256 of encoded documents."""
-    return decode(coded, vocabulary).select(
+def _coded(docs: DataFrame, vocabulary: str, lexicon_words: int, more: list, schema: str) -> DataFrame:
+    """doc_id, token_ids and what the functions in ``more`` make of the lists, in the same pass."""
+    name = build_lexicon(docs, vocabulary, lexicon_words)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        bpe, lexicon, memory = _bpe(vocabulary), _lexicon(name), {}
+        for batch in batches:
+            texts = batch.column(1)
+            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_CHARS):
+                lists = _encoded(texts.slice(start, stop - start), bpe, lexicon, memory)
+                columns = [batch.column(0).slice(start, stop - start), lists, *(f(lists, bpe) for f in more)]
+                yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+
+    made = docs.select("doc_id", "text").mapInArrow(run, f"c0 {kind}, c1 array<int>{schema}")
+    return made.withColumnsRenamed({"c0": "doc_id", "c1": "token_ids"})
+
+
+def _sha256(texts: pa.StringArray) -> pa.Array:
+    return pa.array([hashlib.sha256(t).hexdigest() for t in texts.cast(pa.binary()).to_pylist()], pa.string())
+
+
+def _ids_sha256(lists: pa.ListArray, bpe: WordBpe) -> pa.Array:
+    text = pa.ListArray.from_arrays(lists.offsets, lists.values.cast(pa.string()))
+    return _sha256(pc.binary_join(text, " "))
+
+
+def encode_with_digests(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+    """doc_id, token_ids, n_tokens, ids_sha256 (of the ids joined by spaces), decoded_sha256.
+
+    A batch's ids are decoded in the worker that has made them, as ``decode`` does.
+    """
+    more = [_ids_sha256, lambda lists, bpe: _sha256(_decoded(lists, bpe.tokens))]
+    coded = _coded(docs, vocabulary, lexicon_words, more, ", c2 string, c3 string")
+    return coded.select(
         "doc_id",
         "token_ids",
         F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.col("c2").alias("ids_sha256"),
+        F.col("c3").alias("decoded_sha256"),
     )
 
 
 def op5_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode(table(spark, sf_dir, "documents"))).drop("token_ids")
+    return encode_with_digests(table(spark, sf_dir, "documents")).drop("token_ids")
 
 
 QUERIES = {"op5_transducer_bpe": op5_transducer_bpe}
