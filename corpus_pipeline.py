@@ -34,7 +34,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token_ids, n_tokens and digests of the ids and of the text that they decode to."""
-    return transducer_bpe.digests(transducer_bpe.encode(docs))
+    return transducer_bpe.encode_with_digests(docs)
 
 
 STAGES = [
