@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,34 +20,56 @@ LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 #: Session settings for tables whose rows may be long texts: batches between Parquet, the JVM and
-#: Python hold few rows, so their buffers stay small.
+#: Python hold few rows, so their buffers stay small. Neither exists as an option of a reader.
 BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.parquet.columnarReaderBatchSize": "256",
 }
+#: What the settings were before a text query, for ``restore``.
+_before: dict[str, str | None] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with long texts; the session reads in small batches until ``restore``."""
     for key, value in BATCHES.items():
+        _before.setdefault(key, spark.conf.get(key, None))
         spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def restore(spark: SparkSession) -> None:
+    """Put back the settings that ``table`` has changed; a query of other tables calls it first."""
+    while _before:
+        key, value = _before.popitem()
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
+    """A folder of this application in the one that driver and executors share, spark.checkpoint.dir.
 
-    Only where the session names none (tests, a notebook) a temporary folder is set.
+    It goes when the application ends. Where no folder is named a local session gets a temporary one;
+    on a cluster that is an error, as each machine would write to its own disk.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
+    current = context._jsc.sc().getCheckpointDir()
+    if root is None and current.isDefined():
+        root = current.get()
     if root is None:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = current.get() if current.isDefined() else None
-    if root is None:
+        if not re.match(r"local($|\[)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if not current.isDefined():
+        context.setCheckpointDir(root)
+    folder = f"{root.rstrip('/')}/text-{context.applicationId}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return folder
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -55,10 +79,15 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
+    return materialised(df, label)[0]
+
+
+def materialised(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The same with the path, for one who knows when the rows are no longer read."""
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -115,6 +144,12 @@ def slices(lengths: Sequence[int | None], most: int) -> Iterator[tuple[int, int]
         yield start, len(lengths)
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def id_key(doc_id: str = "doc_id") -> Column:
     """The id as a long that orders rows, null before all."""
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialised, remove_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,23 +31,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (its smallest node) of every node that has a link to another."""
+    spark = links.sparkSession
     edges = (
         links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
     )
-    edges = materialise(edges, "links")
+    edges, path = materialised(edges, "links")
     seen = None
-    for _ in range(most_rounds):
-        # the state is done when every node has one link and no target has a link itself
+    while True:
+        # every round makes some target smaller until the state repeats: each node has one link and
+        # no target has a link itself
         row = edges.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")
         ).first()
         state = (row["n"], row["s"])
         if row["n"] == 0 or state == seen:
             break
-        seen = state
-        edges = materialise(_small_star(_large_star(edges)), "links")
-    else:
-        raise RuntimeError(f"no components after {most_rounds} rounds")
+        seen, before = state, path
+        edges, path = materialised(_small_star(_large_star(edges)), "links")
+        remove_path(spark, before)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

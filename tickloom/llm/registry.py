@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     chat_format,
+    common,
     decontamination,
     language_id,
     line_dedup,
@@ -35,3 +36,8 @@ def queries():
 
 def oracle_sql():
     return {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
+
+
+def restore(spark):
+    """Put back the session settings that the text queries have changed."""
+    common.restore(spark)

@@ -3,19 +3,20 @@
 Documents get 64-bit fingerprints; equal fingerprints become one row before any comparison. Two
 fingerprints within ``radius`` bits agree on all bits of at least ``blocks - radius`` of ``blocks``
 blocks, so each is dealt once to every choice of so many blocks, and only those that share a choice
-are compared: exactly, with exclusive-or and bit counts over tiles in order of their population
-counts, and tile pairs whose population counts differ by more than the radius are skipped. A bucket
-of more than ``tile`` fingerprints is dealt over pairs of tiles of that size. A task gives no more links
-than nodes (a spanning forest), and components spread by joins.
+meet. Within such a bucket fingerprints lie in tiles of one population count: tile pairs whose counts
+differ by more than the radius are skipped, all others are compared exactly, with exclusive-or and
+bit counts. A bucket of more than ``tile`` fingerprints is dealt over pairs of tiles of that size. A
+task gives no more links than nodes (a spanning forest), and components spread by joins.
 
 Defined cases: a null or wordless text has fingerprint zero and is linked like any other; a text of
 fewer than three words is one shingle; a null doc_id is fingerprinted and linked but names no
 component, which is null where all its documents' ids are null; repeated rows give repeated rows.
-Other columns are ignored or, in ``near_dedup``, kept.
+``near_dedup`` tells rows apart by doc_id and text. Other columns are ignored or, there, kept.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, materialise, slices, table
+from .common import LOWER_BYTES, materialise, ranges, slices, table
 from .components import components
 
 SHINGLE = 3
@@ -34,8 +35,9 @@ BLOCKS = 4
 TILE = 4096
 SEED = 42
 BATCH_BYTES = 1_000_000
-#: Rows and columns of one exact comparison.
+#: Most rows of a tile, and row pairs that are compared at once.
 STEP = 512
+CELLS = 1_000_000
 
 
 def shingle_hashes(raw: bytes | None, width: int = SHINGLE) -> np.ndarray:
@@ -122,67 +124,77 @@ def _dealt(distinct: DataFrame, blocks: int, radius: int, tile: int) -> DataFram
     return met.select("fp", "choice", "key", F.explode(pairs).alias("pair")).select("choice", "key", "pair", "fp")
 
 
-def _roots(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Smallest place reachable from each of n places."""
-    root = np.arange(n)
-    if not pairs:
-        return root
-    a = np.concatenate([p[0] for p in pairs])
-    b = np.concatenate([p[1] for p in pairs])
-    while True:
+def _roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
+    """Smallest place reachable from each of n places, beginning from the trees of ``root``."""
+    root = np.arange(n) if root is None else root
+    while len(a):
         least = np.minimum(root[a], root[b])
         new = root.copy()
         np.minimum.at(new, root[a], least)
         np.minimum.at(new, root[b], least)
         new = new[new]
         if np.array_equal(new, root):
-            return root
+            break
         root = new
+    return root
 
 
-def compare_tiles(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct fingerprints: (fingerprint, its tree's root)."""
-    fps = fps[np.argsort(np.bitwise_count(fps), kind="stable")]
-    ones = np.bitwise_count(fps).astype(np.int64)
-    starts = range(0, len(fps), STEP)
-    pairs = []
-    for i in starts:
-        top = ones[min(i + STEP, len(fps)) - 1] + radius
-        for j in starts:
-            if j < i:
-                continue
-            if ones[j] > top:
-                break  # all further tiles have larger population counts still
-            near = np.bitwise_count(fps[i : i + STEP, None] ^ fps[None, j : j + STEP]) <= radius
-            x, y = np.nonzero(near)
-            keep = x + i < y + j
-            pairs.append((x[keep] + i, y[keep] + j))
-            if sum(len(p[0]) for p in pairs) > 1_000_000:  # fold links into a forest
-                root = _roots(len(fps), pairs)
-                pairs = [(np.arange(len(fps)), root)]
-    root = _roots(len(fps), pairs)
-    child = np.flatnonzero(root != np.arange(len(fps)))
-    return fps[child], fps[root[child]]
+@dataclass
+class TilePairs:
+    """Tiles [start, stop) of rows, and for each tile the tiles [itself, near) that it is compared with."""
 
+    start: np.ndarray
+    stop: np.ndarray
+    near: np.ndarray
+    compared: int
+    skipped: int
 
-def _links(groups: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within each run of equal group numbers."""
-    left, right = [], []
-    edges = np.concatenate(([0], np.flatnonzero(np.diff(groups)) + 1, [len(groups)]))
-    sizes = np.diff(edges)
-    small = np.repeat(sizes <= 8, sizes)
-    g, f = groups[small], fps[small]
-    for d in range(1, 8):  # all small groups at once, by the distance of their rows
-        if len(g) <= d:
-            break
-        near = (g[d:] == g[:-d]) & (np.bitwise_count(f[d:] ^ f[:-d]) <= radius)
-        left.append(f[d:][near])
-        right.append(f[:-d][near])
-    for k in np.flatnonzero(sizes > 8).tolist():
-        a, b = compare_tiles(np.unique(fps[edges[k] : edges[k + 1]]), radius)
-        left.append(a)
-        right.append(b)
-    return np.concatenate(left or [np.zeros(0, np.uint64)]), np.concatenate(right or [np.zeros(0, np.uint64)])
+
+def tile_pairs(buckets: np.ndarray, ones: np.ndarray, radius: int) -> TilePairs:
+    """Tiles of rows in order of (bucket, population count).
+
+    A tile holds at most ``STEP`` rows of one bucket and one population count. Of the later tiles of
+    its bucket, those whose counts are beyond the radius are skipped.
+    """
+    n = len(buckets)
+    place = np.concatenate(([0], np.cumsum(buckets[1:] != buckets[:-1]))) if n else np.zeros(0, np.int64)
+    key = place * 256 + ones
+    edge = np.concatenate(([True], key[1:] != key[:-1])) if n else np.zeros(0, bool)
+    first = np.flatnonzero(edge)
+    nth = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    start = np.flatnonzero(edge | (nth % STEP == 0))
+    stop = np.append(start[1:], n)
+    of = key[start]
+    near = np.searchsorted(of, of + radius, side="right")
+    last = np.searchsorted(of, (of // 256 + 1) * 256)
+    near = np.minimum(near, last)
+    me = np.arange(len(start))
+    return TilePairs(start, stop, near, int((near - me).sum()), int((last - near).sum()))
+
+
+def compare_tiles(buckets: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links within buckets: (fingerprint, its tree's root).
+
+    Rows of a bucket come together. Fingerprints that lie in several buckets have a place in each.
+    """
+    order = np.lexsort((np.bitwise_count(fps), buckets))
+    buckets, fps = buckets[order], fps[order]
+    tiles = tile_pairs(buckets, np.bitwise_count(fps).astype(np.int64), radius)
+    root = np.arange(len(fps))
+    mine = np.repeat(np.arange(len(tiles.start)), tiles.near - np.arange(len(tiles.start)))
+    other = ranges(np.arange(len(tiles.start)), tiles.near - np.arange(len(tiles.start)))
+    width = tiles.stop - tiles.start
+    cells = width[mine] * width[other]
+    for begin, end in slices(cells.tolist(), CELLS):  # the rows of some tile pairs, all against all
+        a, b, n = mine[begin:end], other[begin:end], cells[begin:end]
+        k = ranges(np.zeros(len(n), np.int64), n)
+        wide = np.repeat(width[b], n)
+        x = np.repeat(tiles.start[a], n) + k // wide
+        y = np.repeat(tiles.start[b], n) + k % wide
+        near = (np.bitwise_count(fps[x] ^ fps[y]) <= radius) & (x < y)
+        root = _roots(len(fps), x[near], y[near], root)
+    child = np.flatnonzero(root != np.arange(len(fps)))
+    return fps[child], fps[root[child]]
 
 
 def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
@@ -197,7 +209,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile:
         held_g, held_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
         def out(g, f):
-            a, b = _links(g, f, radius)
+            a, b = compare_tiles(g, f, radius)
             return pa.RecordBatch.from_arrays(
                 [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"]
             )
@@ -240,20 +252,24 @@ def near_duplicates(
 def near_dedup(
     docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE
 ) -> DataFrame:
-    """The documents, in their own columns, with one of each component: that of the smallest doc_id.
+    """The documents, in their own columns, with one row of each component.
 
-    Rows that repeat the doc_id of one that stays are copies too, and one of them stays. Documents
-    whose doc_id is null can't be told apart by id and stay.
+    A row is a document, known by its doc_id and text: of the rows of a component the one with the
+    smallest doc_id stays (null after all others; of equal ids the least hash of the text), and of
+    rows that agree in both one. Rows that share a doc_id and are unlike both stay.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), width, radius, blocks, tile)
-    found = materialise(found.select("doc_id", "component_id"), "components")
-    gone = found.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = found.groupBy("doc_id").count().filter("doc_id is not null and count > 1")
-    if again.isEmpty():
-        return stay
-    once = stay.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return once.unionByName(stay.filter(F.col("doc_id").isNull()))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    key = [
+        F.col("doc_id").isNull().alias("_no_id"),
+        F.coalesce(F.col("doc_id"), F.lit(0).cast(kind)).alias("_id"),
+        F.xxhash64("text").alias("_text"),
+    ]
+    names = ["_no_id", "_id", "_text"]
+    rows = docs.select(F.struct(*key).alias("doc_id"), "text")
+    found = near_duplicates(rows, width, radius, blocks, tile).filter(F.col("component_id") != F.col("doc_id"))
+    gone = found.select("doc_id.*").distinct()
+    keyed = docs.select(*key, F.struct(*docs.columns).alias("row"))
+    return keyed.join(gone, names, "left_anti").dropDuplicates(names).select("row.*")
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

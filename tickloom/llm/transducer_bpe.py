@@ -35,7 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, publish, slices, table
+from .common import materialised, publish, ranges, remove_path, slices, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LEXICON_WORDS = 200_000
@@ -121,27 +121,18 @@ class WordBpe:
     def _words(self, text: str) -> list[str]:
         if text.isascii():
             return _ascii_words.findall(text.lower())
-        basic = len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text)
-        words, unknown = _patterns(_BASIC if basic else sys.maxunicode)
-        if unknown.search(text):
-            return self._library_words(text)
         # the tokenizers library lower-cases each character by itself: no final sigma
-        return words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-
-    def _library_words(self, text: str) -> list[str]:
-        """Words where a code point is newer than Python's tables: by the library's own."""
-        from tokenizers import Tokenizer
-
-        whole = Tokenizer.from_file(self.path)
-        lower = whole.normalizer.normalize_str(text)
-        place = {c: i for i, c in enumerate(_byte_chars())}
-        got = whole.pre_tokenizer.pre_tokenize_str(lower)
-        return [bytes(place[c] for c in word).decode(errors="surrogateescape") for word, _ in got]
+        lower = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # NFC may lead beyond the basic plane, so the pattern is chosen by what it gives
+        basic = len(lower.encode("utf-16-le", "surrogatepass")) == 2 * len(lower)
+        words, unknown = _patterns(_BASIC if basic else sys.maxunicode)
+        return _library_words(self.path, text) if unknown.search(lower) else words.findall(lower)
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word: the pair of least rank merges first, the leftmost of equals."""
         ids = [self.inner[b] for b in word[:-1]]
         ids.append(self.final[word[-1]])
+        # one result; long words by a heap, as their pairs would be searched too often
         return self._merge_long(ids) if len(ids) > 200 else self._merge_short(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
@@ -188,6 +179,20 @@ class WordBpe:
         return [x for x in ids if x >= 0]
 
 
+@cache
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _library_words(path: str, text: str) -> list[str]:
+    """Words where a code point is newer than Python's tables: by the library's own."""
+    whole, place = _library(path), {c: i for i, c in enumerate(_byte_chars())}
+    got = whole.pre_tokenizer.pre_tokenize_str(whole.normalizer.normalize_str(text))
+    return [bytes(place[c] for c in word).decode(errors="surrogateescape") for word, _ in got]
+
+
 def _byte_chars() -> list[str]:
     """The printable character that stands for each byte: itself, or the next from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -379,7 +384,7 @@ def build_lexicon(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words:
     (eighths of powers of two), so the driver never gets more words than that.
     """
     fits = (F.octet_length("word") <= WORD_BYTES) & (F.col("n") > 1)
-    counts = materialise(word_counts(docs, vocabulary).filter(fits), "words")
+    counts, path = materialised(word_counts(docs, vocabulary).filter(fits), "words")
     level = F.floor(F.log2("n") * 8).cast("int")
     rows = counts.groupBy(level.alias("level")).count().collect()
     total, least = 0, None
@@ -389,6 +394,7 @@ def build_lexicon(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words:
             break
         least = row["level"]
     words = [] if least is None else counts.filter(level >= least).select("word").toArrow().column(0).to_pylist()
+    remove_path(docs.sparkSession, path)
     bpe = _bpe(vocabulary)
     coded = sorted(w.encode() for w in words)
     return publish(docs.sparkSession, compile_lexicon([(w, bpe.merge(w)) for w in coded]), "lexicon")
@@ -434,12 +440,6 @@ def _encode_words(words: list[str], bpe: WordBpe, lexicon: Lexicon, memory: dict
     return pool[ranges(start[index], size[index])], size[index]
 
 
-def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... for each range, one after the other."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def _encoded(texts: pa.Array, bpe: WordBpe, lexicon: Lexicon, memory: dict) -> pa.ListArray:
     """Lists of the ids of the texts."""
     words, counts = [], []
