@@ -29,6 +29,35 @@ def test_merges_match_the_library(library):
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_every_code_point_in_context(library):
+    """Blocks of code points of one plane, each in several contexts: the ids are the library's."""
+    bpe = T.WordBpe(T.VOCABULARY)
+    texts = []
+    for at in [*range(0, 0xD800, 16), *range(0xE000, 0x32000, 16), *range(0xE0000, 0xE0200, 16), 0xF0000, 0x10FFF0]:
+        texts.append(" ".join(f"a{c}b {c}! '{c}d 1{c}2" for c in map(chr, range(at, at + 16))))
+    for c in "\uFA6C\uFACF\uFACF\uFAD0\uFAD5\uFAD7\u2ADC":  # NFC leads to other planes, or splits
+        texts += [f"x {c}! y", f"a{c}b", c]
+    memory = {}
+    got = library.encode_batch_fast(texts, add_special_tokens=False)
+    for text, want in zip(texts, got):
+        ids = []
+        for w in bpe.words(text):
+            if w not in memory:
+                raw = w.encode(errors="surrogateescape")
+                memory[w] = [bpe.special[w]] if w in bpe.special else bpe.merge(raw)
+            ids += memory[w]
+        assert ids == want.ids, repr(text)
+
+
+def test_both_merges_agree():
+    bpe = T.WordBpe(T.VOCABULARY)
+    rng = random.Random(4)
+    for _ in range(200):
+        word = "".join(rng.choice(["the", "ing", "ab", "z", "é", "aaa"]) for _ in range(rng.randrange(1, 120))).encode()
+        ids = [bpe.inner[b] for b in word[:-1]] + [bpe.final[word[-1]]]
+        assert bpe._merge_short(list(ids)) == bpe._merge_long(list(ids))
+
+
 def test_lexicon_finds_its_words_and_no_others(tmp_path):
     rng = random.Random(2)
     words = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(1, 7))) + rng.choice(["", "ing", "tion"]) for _ in range(800)})
