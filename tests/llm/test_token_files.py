@@ -44,11 +44,12 @@ def test_files_hold_all_ids_in_order(spark, tmp_path, library):
     assert collected(K.read_token_files(spark, path), "doc_id", "start", "token_ids") == sorted(want, key=repr)
 
 
-def test_words_are_forgotten_and_met_again(monkeypatch, library):
-    monkeypatch.setattr(K, "REMEMBERED", 4)
-    encoder = K.DistinctEncoder(K.VOCABULARY)
-    for text in ("a b c d e f", "a b a", "x y z é", "a b c d e f g h", "f g unhappiness"):
-        assert encoder.encode([text, None])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+def test_whole_texts_are_the_library_s(library):
+    texts = ["x \uFACF! y", "a\uFA6Cb", "\u0378 \U0002FFFF", None, "", "\ud7ff " * 5, "a" * 5000]
+    ids, sizes = K.encode_texts(texts)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+    assert K.encode_texts([])[0].tolist() == []
 
 
 def test_empty_table(spark, tmp_path):

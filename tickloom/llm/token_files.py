@@ -10,12 +10,15 @@ lost executor's files are committed once or not at all, on any store): ``part``
 order of doc_id, ``first`` (ids of the part before the segment), ``n_ids``, the documents' ids and
 lengths, and the payload. Parts are ranges of doc_id.
 
+Texts are encoded whole by the tokenizers library.
+
 Defined cases: a null text is empty and has the end id alone; a null doc_id comes first; rows that
-share a doc_id are ordered by text; an empty table is an empty file set. Other columns are ignored.
+share a doc_id are ordered by text; a doc_id that is no number counts as null in dealing the parts; an empty table is an empty file set. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from functools import cache
 
@@ -28,17 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_bounds, id_key, piece_of, shared_path, slices, table
-from .transducer_bpe import WordBpe, ranges
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 1
 BLOCK = 1024
 #: Characters of the texts of a segment, one text at least.
 SEGMENT_CHARS = 1_000_000
-#: Words whose ids a worker remembers.
-REMEMBERED = 200_000
-#: New words that go to the library as one text, parted by spaces.
-LINE = 1_000
 
 #: Values and bits of selectors 1 to 15; selector 0 is the escape.
 PACKINGS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
@@ -168,90 +166,22 @@ def unpack_block(data: bytes, n: int, k: int, block: int = BLOCK) -> np.ndarray:
 # -- ids of texts --------------------------------------------------------------------------------
 
 
-class DistinctEncoder:
-    """The tokenizers library over the distinct words of many texts.
-
-    Words never cross each other in the vocabulary's pattern, and special tokens are words of their
-    own, so the ids of a text are those of its words, one after the other. Words are remembered, and
-    of too many those that were met least.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        spec = WordBpe(path)
-        self.split = spec.words
-        #: ids that end a word: those with the suffix, and special tokens
-        self.last = np.isin(np.arange(len(spec.tokens)), [*spec.special.values()])
-        self.last |= pc.ends_with(spec.tokens, spec.suffix).to_numpy(zero_copy_only=False)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.words = pa.array([], pa.string())
-        self.start = self.size = self.met = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
-
-    def _learn(self, fresh: pa.StringArray) -> None:
-        ends = np.append(np.arange(0, len(fresh), LINE), len(fresh))
-        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fresh), " ").to_pylist()
-        got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, np.int32) for e in got])
-        size = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
-        if len(size) != len(fresh):
-            raise AssertionError("the vocabulary's words don't keep apart")
-        self.start = np.concatenate((self.start, len(self.pool) + np.cumsum(size) - size))
-        self.size = np.concatenate((self.size, size))
-        self.met = np.concatenate((self.met, np.zeros(len(size), np.int64)))
-        self.pool = np.concatenate((self.pool, ids))
-        self.words = pa.concat_arrays([self.words, fresh])
-
-    def _forget(self) -> None:
-        """Keep half of what may be remembered, the words met most."""
-        keep = np.sort(np.argsort(-self.met, kind="stable")[: REMEMBERED // 2])
-        self.words = self.words.take(pa.array(keep))
-        self.pool = self.pool[ranges(self.start[keep], self.size[keep])]
-        self.size, self.met = self.size[keep], self.met[keep] // 2
-        self.start = np.cumsum(self.size) - self.size
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of the texts and how many each has."""
-        words: list[str] = []
-        counts = []
-        for text in texts:
-            got = self.split(text) if text else []
-            words += got
-            counts.append(len(got))
-        if not words:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        coded = pa.array(words, pa.string()).dictionary_encode()
-        del words
-        if len(self.words) > REMEMBERED:
-            self._forget()
-        distinct = coded.dictionary
-        slots = pc.index_in(distinct, value_set=self.words)
-        if slots.null_count:
-            known = len(self.words)
-            fresh = slots.is_null()
-            self._learn(distinct.filter(fresh))
-            fresh = fresh.to_numpy(zero_copy_only=False)
-            slots = slots.fill_null(0).to_numpy().astype(np.int64)
-            slots[fresh] = np.arange(known, len(self.words))
-        else:
-            slots = slots.to_numpy().astype(np.int64)
-        self.met[slots] += 1
-        index = slots[coded.indices.to_numpy()]
-        each = self.size[index]
-        flat = self.pool[ranges(self.start[index], each)]
-        edges = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
-        return flat, np.diff(edges)
+@cache
+def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
 
+    whole = Tokenizer.from_file(path)
+    whole.no_truncation()
+    whole.no_padding()
+    return whole
 
-@cache
-def _encoder(path: str) -> DistinctEncoder:
-    import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return DistinctEncoder(path)
+def encode_texts(texts: list[str | None], vocabulary: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids of the whole texts and how many each has, by the tokenizers library."""
+    coded = _tokenizer(vocabulary).encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+    ids = [np.array(e.ids, np.int32) for e in coded]
+    return np.concatenate([*ids, np.zeros(0, np.int32)]), np.array([len(x) for x in ids], np.int64)
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end: int = END, parts: int | None = None) -> None:
@@ -269,11 +199,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY,
     )
 
     def run(batches):
-        encoder, part, segment, first = _encoder(vocabulary), TaskContext.get().partitionId(), 0, 0
+        part, segment, first = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             texts = batch.column(1)
             for start, stop in slices(pc.binary_length(texts).to_pylist(), SEGMENT_CHARS):
-                flat, sizes = encoder.encode(texts.slice(start, stop - start).to_pylist())
+                flat, sizes = encode_texts(texts.slice(start, stop - start).to_pylist(), vocabulary)
                 ids = np.insert(flat, np.cumsum(sizes), end)
                 yield pa.RecordBatch.from_arrays(
                     [
