@@ -1,17 +1,19 @@
 """Similarity digests of improbable features.
 
 Each window of ``WINDOW`` bytes of a text has an entropy; classes of entropy that are rare over all
-windows of all documents rank first, and windows of very low entropy are no features. The rarest
+windows of all documents rank first, and those of very low entropy after all others. The rarest
 window of every ``NEIGHBOURHOOD`` successive ones is selected (the first of equals), hashed, and put
 into a chain of Bloom filters, ``FILTER_FEATURES`` to a filter. Two digests are alike as far as their
 filters share more bits than chance gives: for each filter of the shorter chain, the best overlap
 with a filter of the other, normalised between chance (0) and all bits of the smaller (1), weighted
 by the filters' features.
 
-Defined cases: a null text is empty; an empty text has no filter and is like an empty text alone; a
-text of fewer than ``SHORT`` bytes has all its windows of ``SHORT_WINDOW`` bytes as features; equal texts have equal digests; a null doc_id sorts before
-all others; rows that share a doc_id are ordered by text, and a table of one row follows itself.
-Long texts are read in segments that give the same features. Other columns are ignored.
+Defined cases: a null text is empty; an empty text has no window, thus no filter, and is like an
+empty text alone; any other text has a feature at least, as a text of fewer bytes than a window is
+one window, ended by zero bytes; equal texts have equal digests; a null doc_id sorts before all
+others, and so does one that is no number in dealing the pieces; rows that share a doc_id are ordered
+by text, and a table of one row follows itself. Long texts are read in segments that give the same
+features. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,21 +25,17 @@ import struct
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_bounds, id_key, piece_of, slices, table
 
 WINDOW = 16
-#: Of a text of fewer bytes, every window of SHORT_WINDOW bytes is a feature.
-SHORT = 48
-SHORT_WINDOW = 4
 NEIGHBOURHOOD = 32
 FILTER_BITS = 2048
 FILTER_FEATURES = 160
 HASHES = 5
-#: Least entropy of a feature in bits; a window of one repeated byte has none.
+#: Windows of less entropy in bits rank last; a window of one repeated byte has none.
 LEAST_ENTROPY = 1.5
 SEGMENT = 500_000
 BATCH_BYTES = 1_000_000
@@ -76,7 +74,8 @@ class _Units:
         #: text, place in data, first window there, windows [s, e) that count, last window there
         self.spans: list[tuple[int, int, int, int, int, int]] = []
         for text, raw in enumerate(raws):
-            windows = len(raw) - WINDOW + 1 if len(raw) >= SHORT else 0
+            raw = raw.ljust(WINDOW, b"\0") if raw else raw
+            windows = max(0, len(raw) - WINDOW + 1)
             for s in range(0, windows, SEGMENT):
                 e = min(s + SEGMENT, windows)
                 lo, hi = max(0, s - NEIGHBOURHOOD + 1), min(windows, e + NEIGHBOURHOOD - 1)
@@ -100,7 +99,7 @@ def entropy_classes(raws: list[bytes]) -> np.ndarray:
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Rank of each class of entropy, the rarest first, from all windows of all documents."""
+    """Rank of each class of entropy, the rarest first and low ones last, from all windows of all documents."""
 
     def count(batches):
         total = np.zeros(_MOST + 1, np.int64)
@@ -117,8 +116,8 @@ def rarity(docs: DataFrame) -> np.ndarray:
         counts[r["class"]] = r["n"]
     rank = np.empty(_MOST + 1, np.int64)
     rank[np.argsort(counts, kind="stable")] = np.arange(_MOST + 1)
-    rank[np.arange(_MOST + 1) > WINDOW * _PARTS * (np.log2(WINDOW) - LEAST_ENTROPY)] = _NEVER
-    return rank
+    low = np.arange(_MOST + 1) > WINDOW * _PARTS * (np.log2(WINDOW) - LEAST_ENTROPY)
+    return np.where(low, rank + _MOST + 1, rank)
 
 
 def _mixed(blocks: np.ndarray) -> np.ndarray:
@@ -160,14 +159,6 @@ def digests(raws: list[bytes], rank: np.ndarray) -> list[tuple[np.ndarray, np.nd
             blocks = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[mine]
             hashes.append(_mixed(np.ascontiguousarray(blocks)))
     owner, h = np.concatenate(owners), np.concatenate(hashes)
-    brief = [
-        (i, xxhash.xxh64_intdigest(r[j : j + SHORT_WINDOW]))
-        for i, r in enumerate(raws)
-        if len(r) < SHORT
-        for j in range(max(len(r) - SHORT_WINDOW, 0) + 1 if r else 0)
-    ]
-    owner = np.concatenate((owner, np.array([i for i, _ in brief], np.int64)))
-    h = np.concatenate((h, np.array([x for _, x in brief], np.uint64)))
     # the first of each feature of a text, in order of place
     order = np.lexsort((np.arange(len(h)), h, owner))
     again = np.zeros(len(h), bool)
