@@ -45,8 +45,8 @@ def test_random_texts_match_brute_force(spark):
     texts += [items[5][1].upper() + "! " + pick(10), "", None, "é ÉÀ " + items[2][1], " ".join([pick(5), items[13][1], pick(400)])]
     rows = list(enumerate(texts)) + [(0, texts[0]), (None, texts[3])]
     want = brute([t for _, t in rows], items)
-    for shard in (1, 10_000):  # one automaton for each item, or one for all
-        got = D.find_contamination(docs(spark, rows, ("n_hit", "items")), bench(spark, items), shard_words=shard)
+    for shard, most in ((1, 64), (1, 3), (10_000, 64)):  # many automata, in one pass or several, or one for all
+        got = D.find_contamination(docs(spark, rows, ("n_hit", "items")), bench(spark, items), shard_words=shard, most_shards=most)
         got = collected(got, "doc_id", "n_words", "n_hit", "items", "contaminated")
         assert got == sorted(
             ((i, n, h, f, h > 0 and 20 * h >= n) for (i, _), (n, h, f) in zip(rows, want)), key=repr
@@ -66,6 +66,52 @@ def test_coverage_limit_and_removal(spark):
     assert dict(collected(cut, "doc_id", "text"))[1] == low[len(item) :]
 
 
+def test_many_shards_of_decontaminate(spark):
+    rng = random.Random(6)
+    pool = words(rng, 3000)
+    items = [(i, " ".join(rng.choice(pool) for _ in range(20))) for i in range(40)]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(100))) for i in range(20)]
+    rows += [(100 + i, rows[i][1] + " " + t) for i, t in items[:8]]
+    for most in (2, 64):
+        kept = D.decontaminate(docs(spark, rows, ("_found",)), bench(spark, items), shard_words=10, most_shards=most)
+        assert collected(kept, "doc_id", "text") == sorted(rows[:20], key=repr)
+
+
+def test_shards_are_opened_once(tmp_path, monkeypatch):
+    names = []
+    for k in range(10):
+        data = D.build_automaton([(str(k), D.words_of(b"item %d has these words" % k))])
+        (tmp_path / f"s{k}").write_bytes(data)
+        names.append(f"s{k}")
+    opened = []
+    monkeypatch.setattr(D.SparkFiles, "get", lambda n: opened.append(n) or str(tmp_path / n))
+    D._automaton.cache_clear()
+    for _ in range(5):
+        found = D.find_in([b"xx item 3 has these words yy", None], names)
+        assert found[0].items == {"3"} and found[0].hits == [(1, 6)] and found[1].n_words == 0
+    assert sorted(opened) == names
+    D._automaton.cache_clear()
+
+
+def test_repetitive_texts_take_linear_time(tmp_path, monkeypatch):
+    """A word that repeats 100,000 times, as an item and as a text."""
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        (tmp_path / f"r{n}").write_bytes(D.build_automaton([("1", [b"word"] * n)]))
+        found = D.Automaton(str(tmp_path / f"r{n}"))
+        hits, items = [], set()
+        words = D.Words([b"word " * n])
+        assert found.scan(found.codes(words), hits, items) == n and items == {"1"}
+        assert D.merged(hits) == [(0, n)]
+        return time.process_time() - began
+
+    seconds(1000)
+    small, large = seconds(20_000), seconds(100_000)
+    assert large < 12 * small + 1
+
+
 def test_long_text_and_spans(spark):
     item = " ".join(f"w{i}" for i in range(14))
     text = "é" * 200_000 + " ü " + "word " * 60_000 + item + " end"

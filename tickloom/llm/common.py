@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import mmap
 import re
 import tempfile
 import uuid
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: An odd factor that spreads keys over the high bits.
+MIX = 0x9E3779B97F4A7C15
 #: bytes.translate / str.translate tables that lower-case A-Z alone.
 LOWER_STR = {ord(a): b for a, b in zip(UPPER, LOWER)}
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -119,6 +123,47 @@ def publish(spark: SparkSession, data: bytes, label: str) -> str:
     return name
 
 
+def packed(head: dict, parts: dict[str, np.ndarray]) -> bytes:
+    """A file of named arrays, each at a multiple of eight bytes, that ``mapped`` opens."""
+    head, at = {**head, "parts": {}}, 0
+    for name, a in parts.items():
+        head["parts"][name] = [a.dtype.str, at, len(a)]
+        at += -(-a.nbytes // 8) * 8
+    text = json.dumps(head).encode()
+    text += b" " * (-len(text) % 8)
+    return b"".join(
+        [len(text).to_bytes(8, "little"), text, *(a.tobytes() + b"\0" * (-a.nbytes % 8) for a in parts.values())]
+    )
+
+
+def mapped(path: str) -> tuple[dict, dict[str, np.ndarray]]:
+    """The head and the arrays of a file, memory-mapped."""
+    with open(path, "rb") as f:
+        data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    size = int.from_bytes(data[:8], "little")
+    head = json.loads(data[8 : 8 + size])
+    return head, {name: np.frombuffer(data, kind, n, 8 + size + at) for name, (kind, at, n) in head["parts"].items()}
+
+
+def slot_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where a table of 2^bits slots looks for a key first."""
+    return (keys.astype(np.uint64) * np.uint64(MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def slots_for(keys: np.ndarray, bits: int) -> np.ndarray:
+    """A free slot for each key by linear probing, all keys at once."""
+    slots, taken = slot_of(keys, bits), np.zeros(1 << bits, bool)
+    todo = np.arange(len(keys))
+    while len(todo):
+        free = todo[~taken[slots[todo]]]
+        _, first = np.unique(slots[free], return_index=True)
+        won = free[first]
+        taken[slots[won]] = True
+        todo = np.setdiff1d(todo, won, assume_unique=True)
+        slots[todo] = (slots[todo] + 1) & ((1 << bits) - 1)
+    return slots
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does just that to an ASCII string, and faster."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

@@ -1,37 +1,44 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The words of all benchmark items go into suffix automata (one for each shard of items). Documents
-stream past them: for each word the automaton gives the longest suffix that occurs in an item, and
-where that reaches a window (``window`` words, or a whole shorter item) the words of the window
-are hit. A document is contaminated when hit words make up ``coverage`` of it or more.
+The words of all benchmark items go into suffix automata (one for each shard of items, built by the
+executors), written as flat arrays that workers memory-map. Documents stream past them: for each word
+the automaton gives the longest suffix that occurs in an item, and where that reaches a window
+(``window`` words, or a whole shorter item) the words of the window are hit. A document is
+contaminated when hit words make up ``coverage`` of it or more.
+
+A file of a shard takes about 100 bytes for each of its words. At most ``MOST_SHARDS`` files are sent
+out at a time; a larger benchmark is matched in several passes over the documents.
 
 Defined cases: a null or wordless text has no words and is clean; a null item text or one without
 words has no windows; a null ``item_id`` marks words as hit but is in no list of items; item ids
 that repeat count once; document rows are judged one by one, so repeated rows repeat their result;
-a null ``doc_id`` is kept. Other columns of either table are ignored. No row is shuffled.
+a null ``doc_id`` is kept. Other columns of either table are ignored. No document is shuffled.
 """
 
 from __future__ import annotations
 
-import pickle
-from collections import OrderedDict
-from itertools import repeat
+from dataclasses import dataclass, field
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import publish, slices, table
+from .common import MIX, mapped, materialise, packed, publish, slices, slots_for, table
 
 WINDOW = 13
 COVERAGE = (1, 20)
-#: A shard's automaton has at most twice as many states as the shard has words.
+#: Words of a shard, as its texts' length tells; its automaton has at most twice as many states.
 SHARD_WORDS = 100_000
-#: Shards that a worker keeps in memory; further ones are read again for each batch.
-SHARDS_KEPT = 4
+WORD_LENGTH = 6
+#: Shards that are sent to the executors at a time.
+MOST_SHARDS = 64
 BATCH_BYTES = 1_000_000
 
 #: Bytes of words: digits, ASCII letters (lower-cased) and all bytes beyond ASCII.
@@ -39,6 +46,7 @@ _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
 )
+_ALL = (1 << 64) - 1
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -46,18 +54,13 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return raw.translate(_WORD_BYTES).split() if raw else []
 
 
-class SuffixAutomaton:
+class Builder:
     """All substrings of several word sequences, as states with suffix links."""
 
-    def __init__(self, window: int = WINDOW):
-        self.window = window
-        self.vocab: dict[bytes, int] = {}
+    def __init__(self):
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.items: list[str | None] = []
-        #: window length -> state that holds a window of that length -> its items' places
-        self.windows: dict[int, dict[int, tuple[int, ...]]] = {}
 
     def _state(self, length: int, link: int, after: dict[int, int]) -> int:
         self.next.append(after)
@@ -74,7 +77,7 @@ class SuffixAutomaton:
             parent = self.link[parent]
         return copy
 
-    def _extend(self, last: int, word: int) -> int:
+    def extend(self, last: int, word: int) -> int:
         known = self.next[last].get(word)
         if known is not None:
             exact = self.length[known] == self.length[last] + 1
@@ -90,75 +93,185 @@ class SuffixAutomaton:
             self.link[new] = child if exact else self._split(at, word, child)
         return new
 
-    def holder(self, state: int, length: int) -> int:
-        """The state of the last ``length`` words of what ``state`` has matched."""
-        while self.length[self.link[state]] >= length:
-            state = self.link[state]
-        return state
-
-    def build(self, items: list[tuple[str | None, list[bytes]]]) -> SuffixAutomaton:
-        coded = []
-        for item, words in items:
-            codes = [self.vocab.setdefault(w, len(self.vocab)) for w in words]
-            coded.append(codes)
-            self.items.append(item)
-            last = 0
-            for code in codes:
-                last = self._extend(last, code)
-        found: dict[int, dict[int, set[int]]] = {}
-        for place, codes in enumerate(coded):
-            size, state = min(self.window, len(codes)), 0
-            for i, code in enumerate(codes):
-                state = self.next[state][code]
-                if i + 1 >= size:
-                    found.setdefault(size, {}).setdefault(self.holder(state, size), set()).add(place)
-        self.windows = {n: {s: tuple(p) for s, p in of.items()} for n, of in sorted(found.items())}
-        return self
-
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str], int]:
-        """Hit word ranges [start, stop), in order of their ends; items; longest match length."""
-        least = min(self.windows, default=0)
-        if not least or len(words) < least:
-            return [], set(), 0
-        codes = np.fromiter(map(self.vocab.get, words, repeat(-1)), np.int32, len(words))
+    def windows(self, codes: list[int], size: int) -> set[int]:
+        """The states that hold the windows of that many words.
+
+        The match is never longer than a window, so a step climbs one link at most.
+        """
+        out, state = set(), 0
+        for i, code in enumerate(codes):
+            state = self.next[state][code]
+            if self.length[self.link[state]] >= size:
+                state = self.link[state]
+            if i + 1 >= size:
+                out.add(state)
+        return out
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of some texts."""
+    return np.cumsum([0, *map(len, texts)], dtype=np.int32), np.frombuffer(b"".join(texts), np.uint8)
+
+
+def build_automaton(items: list[tuple[str | None, list[bytes]]], window: int = WINDOW) -> bytes:
+    """The automaton of some items as a file of arrays.
+
+    Words have codes in order of a hash whose seed keeps them apart. Transitions are an open table of
+    (state, code). Each state has the windows that it holds, and the nearest state up its links that
+    holds any.
+    """
+    vocab = sorted({w for _, words in items for w in words})
+    seed = 0
+    while len({xxhash.xxh64_intdigest(w, seed) for w in vocab}) < len(vocab):
+        seed += 1
+    vocab.sort(key=lambda w: xxhash.xxh64_intdigest(w, seed))
+    code = {w: i for i, w in enumerate(vocab)}
+    coded = [[code[w] for w in words] for _, words in items]
+    made = Builder()
+    for codes in coded:
+        last = 0
+        for c in codes:
+            last = made.extend(last, c)
+    found: dict[tuple[int, int], list[int]] = {}
+    for place, codes in enumerate(coded):
+        size = min(window, len(codes))
+        for state in made.windows(codes, size):
+            found.setdefault((state, size), []).append(place)
+    order = sorted(found)
+    n = len(made.next)
+    first = np.searchsorted([s for s, _ in order], np.arange(n + 1)).astype(np.int32)
+    near = np.zeros(n, np.int32)  # the state itself or the next one up that holds a window, 0 for none
+    up = np.zeros(n, np.int32)
+    for s in np.argsort(made.length, kind="stable").tolist()[1:]:
+        up[s] = near[made.link[s]]
+        near[s] = s if first[s + 1] > first[s] else up[s]
+    keys = [s << 32 | c for s, after in enumerate(made.next) for c in after]
+    bits = max(4, (2 * len(keys)).bit_length())
+    slots = slots_for(np.array(keys, np.int64), bits)
+    table_keys, table_to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+    table_keys[slots], table_to[slots] = keys, [t for after in made.next for t in after.values()]
+    word_at, word_bytes = _joined(vocab)
+    item_at, item_bytes = _joined([(i or "").encode() for i, _ in items])
+    return packed(
+        {"bits": bits, "seed": seed, "least": min((z for _, z in order), default=0)},
+        {
+            "keys": table_keys,
+            "to": table_to,
+            "link": np.maximum(made.link, 0).astype(np.int32),
+            "length": np.array(made.length, np.int32),
+            "first": first,
+            "near": near,
+            "up": up,
+            "size": np.array([z for _, z in order], np.int32),
+            "item_first": np.cumsum([0, *(len(found[k]) for k in order)], dtype=np.int32),
+            "items": np.array([p for k in order for p in found[k]], np.int32),
+            "hashes": np.array([xxhash.xxh64_intdigest(w, seed) for w in vocab], np.uint64),
+            "word_at": word_at,
+            "word_bytes": word_bytes,
+            "item_at": item_at,
+            "item_bytes": item_bytes,
+            "item_null": np.array([i is None for i, _ in items], np.int8),
+        },
+    )
+
+
+class Words:
+    """The words of some texts: each text's places in the list of distinct words."""
+
+    def __init__(self, raws: list[bytes | None]):
+        split = [words_of(raw) for raw in raws]
+        self.sizes = [len(w) for w in split]
+        coded = pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
+        self.distinct = coded.dictionary
+        self.index = coded.indices.to_numpy()
+        self._hashes: dict[int, np.ndarray] = {}
+
+    def hashes(self, seed: int) -> np.ndarray:
+        if seed not in self._hashes:
+            h = xxhash.xxh64_intdigest
+            self._hashes[seed] = np.fromiter((h(w, seed) for w in self.distinct.to_pylist()), np.uint64, len(self.distinct))
+        return self._hashes[seed]
+
+
+class Automaton:
+    """A shard's automaton, memory-mapped."""
+
+    def __init__(self, path: str):
+        head, parts = mapped(path)
+        self.shift, self.mask, self.seed, self.least = 64 - head["bits"], (1 << head["bits"]) - 1, head["seed"], head["least"]
+        self.parts = parts
+        self.view = {n: memoryview(a) for n, a in parts.items() if len(a)}
+        at, raw = parts["word_at"], parts["word_bytes"]
+        self.words = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
+
+    def codes(self, words: Words) -> np.ndarray:
+        """The code of each word of the texts, -1 for words that no item has."""
+        hashes, known = words.hashes(self.seed), self.parts["hashes"]
+        code = np.full(len(hashes), -1, np.int64)
+        if len(known):
+            place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            here = np.flatnonzero(known[place] == hashes)
+            same = pc.equal(words.distinct.take(pa.array(here)), self.words.take(pa.array(place[here])))
+            here = here[same.to_numpy(zero_copy_only=False)]
+            code[here] = place[here]
+        return code[words.index]
+
+    def item(self, place: int) -> str | None:
+        if self.view["item_null"][place]:
+            return None
+        at = self.view["item_at"]
+        return self.parts["item_bytes"][at[place] : at[place + 1]].tobytes().decode()
+
+    def scan(self, codes: np.ndarray, hits: list[tuple[int, int]], items: set[str]) -> int:
+        """Add the hit word ranges [start, stop) and items of a text; the longest match of a window or more."""
+        least = self.least
+        if not least or len(codes) < least:
+            return 0
         # a window lies within a run of known words; most runs are too short for one
-        edges = np.concatenate(([-1], np.flatnonzero(codes < 0), [len(words)]))
-        runs = np.flatnonzero(np.diff(edges) > least)
-        hits: list[tuple[int, int]] = []
-        places: set[int] = set()
+        edges = np.concatenate(([-1], np.flatnonzero(codes < 0), [len(codes)]))
+        view, shift, mask = self.view, self.shift, self.mask
+        keys, to, link, length, first, near, up, size = (view[n] for n in ("keys", "to", "link", "length", "first", "near", "up", "size"))
+        seen: set[int] = set()
         longest = 0
-        after, link, length, windows = self.next, self.link, self.length, self.windows
-        for run in runs.tolist():
+        for run in np.flatnonzero(np.diff(edges) > least).tolist():
             begin, end = int(edges[run]) + 1, int(edges[run + 1])
             state = matched = 0
             for i, code in enumerate(codes[begin:end].tolist(), begin):
-                to = after[state].get(code)
-                while to is None and state:
+                while True:
+                    key = state << 32 | code
+                    slot = (key * MIX & _ALL) >> shift
+                    while (there := keys[slot]) != key and there >= 0:
+                        slot = slot + 1 & mask
+                    if there >= 0 or not state:
+                        break
                     state = link[state]
                     matched = length[state]
-                    to = after[state].get(code)
-                if to is None:
-                    matched = 0
+                if there < 0:
                     continue
-                state = to
+                state = to[slot]
                 matched += 1
                 if matched < least:
                     continue
-                longest = max(longest, matched)
-                for size, holders in windows.items():
-                    if size > matched:
-                        break
-                    got = holders.get(self.holder(state, size))
-                    if got is not None:
-                        hits.append((i + 1 - size, i + 1))
-                        places.update(got)
-        return hits, {self.items[p] for p in places}, longest
-
-
-def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+                if matched > longest:
+                    longest = matched
+                holder = near[state]
+                while holder:
+                    for w in range(first[holder], first[holder + 1]):
+                        if size[w] <= matched:
+                            hits.append((i + 1 - size[w], i + 1))
+                            seen.add(w)
+                    holder = up[holder]
+        if seen:
+            of, place = view["item_first"], view["items"]
+            got = {self.item(p) for p in {place[k] for w in seen for k in range(of[w], of[w + 1])}}
+            items.update(got - {None})
+        return longest
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping or touching ranges as one."""
     out: list[tuple[int, int]] = []
-    for start, stop in sorted(ranges):
+    for start, stop in sorted(spans):
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], stop))
         else:
@@ -166,58 +279,122 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_loaded: OrderedDict[str, SuffixAutomaton] = OrderedDict()
-
-
-def _automaton(name: str) -> SuffixAutomaton:
-    if name not in _loaded:
-        with open(SparkFiles.get(name), "rb") as f:
-            _loaded[name] = pickle.load(f)
-        while len(_loaded) > SHARDS_KEPT:
-            _loaded.popitem(last=False)
-    _loaded.move_to_end(name)
-    return _loaded[name]
+@cache
+def _automaton(name: str) -> Automaton:
+    """Opened once in a worker; its pages come and go as the system needs."""
+    return Automaton(SparkFiles.get(name))
 
 
 def compile_benchmark(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> list[str]:
-    """Automata of the items, as files that every executor gets. Items stream; a shard is the most held."""
+    """Names of the shards' files; ``send`` hands them to the executors.
+
+    Items are dealt to shards by hash and built by the executors; the driver passes on one shard's
+    file at a time.
+    """
     spark = benchmark.sparkSession
-    names: list[str] = []
-    shard: list[tuple[str | None, list[bytes]]] = []
-    size = 0
-
-    def close():
-        if shard:
-            data = pickle.dumps(SuffixAutomaton(window).build(shard), protocol=5)
-            names.append(publish(spark, data, "windows"))
-
-    rows = benchmark.select(F.col("item_id").cast("string"), F.encode("text", "UTF-8"))
-    for item, raw in rows.toLocalIterator():
-        words = words_of(bytes(raw) if raw is not None else None)
-        if not words:
-            continue
-        if shard and size + len(words) > shard_words:
-            close()
-            shard, size = [], 0
-        shard.append((item, words))
-        size += len(words)
-    close()
-    return names
+    rows = benchmark.filter("text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(1, -(-size // (shard_words * WORD_LENGTH)))
+    dealt = rows.distinct().select(
+        F.pmod(F.xxhash64("text", "item"), F.lit(shards)).alias("shard"), "item", F.encode("text", "UTF-8").alias("raw")
+    )
+
+    def build(items: pa.Table) -> pa.Table:
+        split = [(i, words_of(raw)) for i, raw in zip(items["item"].to_pylist(), items["raw"].to_pylist())]
+        data = build_automaton([x for x in sorted(split, key=lambda x: x[0] or "") if x[1]], window)
+        return pa.table({"data": pa.array([data], pa.large_binary()).cast(pa.binary())})
+
+    built = materialise(dealt.groupBy("shard").applyInArrow(build, "data binary"), "shards")
+    return [publish(spark, bytes(row["data"]), "windows") for row in built.toLocalIterator()]
+
+
+@dataclass
+class Found:
+    """What all shards have found in a text."""
+
+    n_words: int
+    hits: list[tuple[int, int]] = field(default_factory=list)
+    items: set[str] = field(default_factory=set)
+    longest: int = 0
+
+    @property
+    def n_hit(self) -> int:
+        return sum(b - a for a, b in self.hits)
+
+
+#: What passes from one group of shards to the next.
+_SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
+_FOUND = T.StructType(
+    [
+        T.StructField("hits", T.ArrayType(_SPAN)),
+        T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("longest", T.IntegerType()),
+    ]
+)
+
+
+def find_in(raws: list[bytes | None], names: list[str], before: list[dict] | None = None) -> list[Found]:
+    """What the shards find in the texts, added to what others have found before."""
+    words = Words(raws)
+    found = [Found(n) for n in words.sizes]
+    for f, b in zip(found, before or ()):
+        f.hits, f.items, f.longest = [(h["start"], h["stop"]) for h in b["hits"]], set(b["items"]), b["longest"]
+    ends = np.cumsum([0, *words.sizes]).tolist()
+    for name in names:
+        automaton = _automaton(name)
+        codes = automaton.codes(words)
+        for i, f in enumerate(found):
+            f.longest = max(f.longest, automaton.scan(codes[ends[i] : ends[i + 1]], f.hits, f.items))
+    for f in found:
+        f.hits = merged(f.hits)
+    return found
+
+
+def _scanned(docs: DataFrame, names: list[str], finish, schema, most_shards: int) -> DataFrame:
+    """The batches that ``finish(rows, texts, found)`` makes once all shards have been met."""
+    at, width = docs.columns.index("text"), len(docs.columns)
+    extra = "_found" + "_" * max(map(len, docs.columns))
+    between = T.StructType([*docs.schema.fields, T.StructField(extra, _FOUND)])
+    columns = between.names
+    groups = [names[i : i + most_shards] for i in range(0, len(names), most_shards)] or [[]]
+
+    def scan(group: list[str], first: bool, last: bool):
+        def run(batches):
+            for batch in batches:
+                texts = batch.column(at).cast(pa.binary())
+                for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                    part = batch.slice(start, stop - start)
+                    raws = texts.slice(start, stop - start).to_pylist()
+                    found = find_in(raws, group, None if first else part.column(width).to_pylist())
+                    rows = part.columns[:width]
+                    if last:
+                        yield finish(pa.RecordBatch.from_arrays(rows, schema=pa.schema(list(part.schema)[:width])), raws, found)
+                    else:
+                        state = [
+                            {"hits": [{"start": a, "stop": b} for a, b in f.hits], "items": sorted(f.items), "longest": f.longest}
+                            for f in found
+                        ]
+                        yield pa.RecordBatch.from_arrays([*rows, pa.array(state, kind)], names=columns)
+
+        return run
+
+    kind = pa.struct(
+        [("hits", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.string())), ("longest", pa.int32())]
+    )
+    frame = docs
+    for k, group in enumerate(groups):
+        if k + 1 < len(groups):
+            frame = materialise(frame.mapInArrow(scan(group, k == 0, False), between), "scanned")
+    return frame.mapInArrow(scan(groups[-1], len(groups) == 1, True), schema)
 
 
 def _char_spans(raw: bytes, spans: list[tuple[int, int]]) -> list[dict]:
     """Word ranges as code point ranges of the text."""
-    flat = raw.translate(_WORD_BYTES)
-    starts, at = [], 0
-    for word in flat.split():
-        at = flat.index(word, at)
-        starts.append((at, at + len(word)))
-        at += len(word)
-    out = []
-    for a, b in spans:
-        begin = len(raw[: starts[a][0]].decode())
-        out.append({"start": begin, "stop": begin + len(raw[starts[a][0] : starts[b - 1][1]].decode())})
-    return out
+    flat = np.frombuffer(raw.translate(_WORD_BYTES), np.uint8) != 32
+    edge = np.diff(np.concatenate(([0], flat, [0])).astype(np.int8))
+    starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    points = np.concatenate(([0], np.cumsum(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80)))
+    return [{"start": int(points[starts[a]]), "stop": int(points[stops[b - 1]])} for a, b in spans]
 
 
 def find_contamination(
@@ -226,6 +403,7 @@ def find_contamination(
     window: int = WINDOW,
     coverage: tuple[int, int] = COVERAGE,
     shard_words: int = SHARD_WORDS,
+    most_shards: int = MOST_SHARDS,
 ) -> DataFrame:
     """doc_id, n_words, n_hit, longest, items, spans (code points, stop excluded), contaminated.
 
@@ -236,43 +414,27 @@ def find_contamination(
     kind = docs.schema["doc_id"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
-    def judge(batches):
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
-                raws = texts.slice(start, stop - start).to_pylist()
-                split = [words_of(raw) for raw in raws]
-                hits: list[list] = [[] for _ in raws]
-                items: list[set] = [set() for _ in raws]
-                longest = [0] * len(raws)
-                for name in names:
-                    scan = _automaton(name).scan
-                    for i, words in enumerate(split):
-                        got, of, most = scan(words)
-                        if got:
-                            hits[i] += got
-                            items[i] |= of
-                        longest[i] = max(longest[i], most)
-                joined = [merged(x) for x in hits]
-                n_words = [len(x) for x in split]
-                n_hit = [sum(b - a for a, b in x) for x in joined]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(start, stop - start),
-                        pa.array(n_words, pa.int64()),
-                        pa.array(n_hit, pa.int64()),
-                        pa.array(longest, pa.int64()),
-                        pa.array([sorted(x - {None}) for x in items], pa.list_(pa.string())),
-                        pa.array([_char_spans(r, x) if x else [] for r, x in zip(raws, joined)], span),
-                        pa.array([h > 0 and whole * h >= part * n for h, n in zip(n_hit, n_words)], pa.bool_()),
-                    ],
-                    names=["doc_id", "n_words", "n_hit", "longest", "items", "spans", "contaminated"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        judge,
+    def judged(rows, raws, found):
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column(0),
+                pa.array([f.n_words for f in found], pa.int64()),
+                pa.array([f.n_hit for f in found], pa.int64()),
+                pa.array([f.longest for f in found], pa.int64()),
+                pa.array([sorted(f.items) for f in found], pa.list_(pa.string())),
+                pa.array([_char_spans(r, f.hits) if f.hits else [] for r, f in zip(raws, found)], span),
+                pa.array([f.n_hit > 0 and whole * f.n_hit >= part * f.n_words for f in found], pa.bool_()),
+            ],
+            names=["doc_id", "n_words", "n_hit", "longest", "items", "spans", "contaminated"],
+        )
+
+    return _scanned(
+        docs.select("doc_id", "text"),
+        names,
+        judged,
         f"doc_id {kind}, n_words long, n_hit long, longest long, items array<string>, "
         "spans array<struct<start:long,stop:long>>, contaminated boolean",
+        most_shards,
     )
 
 
@@ -283,6 +445,7 @@ def decontaminate(
     coverage: tuple[int, int] = COVERAGE,
     span_words: int | None = None,
     shard_words: int = SHARD_WORDS,
+    most_shards: int = MOST_SHARDS,
 ) -> DataFrame:
     """The documents, in their own columns, without what the benchmark covers.
 
@@ -293,33 +456,24 @@ def decontaminate(
     part, whole = coverage
     at = docs.columns.index("text")
 
-    def keep(batches):
-        for batch in batches:
-            texts = batch.column(at).cast(pa.binary())
-            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
-                rows, raws = [], texts.slice(start, stop - start).to_pylist()
-                changed = False
-                for i, raw in enumerate(raws):
-                    words = words_of(raw)
-                    spans = merged([h for name in names for h in _automaton(name).scan(words)[0]])
-                    hit = sum(b - a for a, b in spans)
-                    if hit and whole * hit >= part * len(words):
-                        continue
-                    cut = [x for x in spans if span_words is not None and x[1] - x[0] >= span_words]
-                    if cut:
-                        text = raw.decode()
-                        for c in reversed(_char_spans(raw, cut)):
-                            text = text[: c["start"]] + text[c["stop"] :]
-                        raws[i] = text.encode()
-                        changed = True
-                    rows.append(i)
-                out = batch.slice(start, stop - start)
-                if changed:
-                    new = pa.array(raws, pa.binary()).cast(batch.schema.field(at).type)
-                    out = out.set_column(at, batch.schema.field(at), new)
-                yield out.take(pa.array(rows, pa.int64()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    def kept(rows, raws, found):
+        stay, changed = [], False
+        for i, (raw, f) in enumerate(zip(raws, found)):
+            if f.n_hit and whole * f.n_hit >= part * f.n_words:
+                continue
+            stay.append(i)
+            cut = [x for x in f.hits if span_words is not None and x[1] - x[0] >= span_words]
+            if cut:
+                text = raw.decode()
+                for c in reversed(_char_spans(raw, cut)):
+                    text = text[: c["start"]] + text[c["stop"] :]
+                raws[i], changed = text.encode(), True
+        if changed:
+            texts = pa.array(raws, pa.binary()).cast(rows.schema.field(at).type)
+            rows = rows.set_column(at, rows.schema.field(at), texts)
+        return rows.take(pa.array(stay, pa.int64()))
+
+    return _scanned(docs, names, kept, docs.schema, most_shards)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import mmap
 import re
 import sys
 import unicodedata
@@ -35,7 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialised, publish, ranges, remove_path, slices, table
+from .common import mapped, materialised, packed, publish, ranges, remove_path, slices, slot_of, slots_for, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LEXICON_WORDS = 200_000
@@ -256,7 +255,7 @@ def compile_lexicon(entries: list[tuple[bytes, list[int]]]) -> bytes:
             adds.append(add)
             add += size_of[target]
     bits = max(4, (2 * len(keys)).bit_length())
-    slots = _place(np.array(keys, np.int64), bits)
+    slots = slots_for(np.array(keys, np.int64), bits)
     table_keys = np.full(1 << bits, -1, np.int64)
     table_to = np.zeros(1 << bits, np.int32)
     table_add = np.zeros(1 << bits, np.int32)
@@ -270,45 +269,17 @@ def compile_lexicon(entries: list[tuple[bytes, list[int]]]) -> bytes:
         "starts": np.concatenate(([0], ends)).astype(np.int64),
         "ids": np.array([i for _, ids in entries for i in ids], np.int32),
     }
-    head, at = {"root": root, "bits": bits, "parts": {}}, 0
-    for name, a in parts.items():
-        head["parts"][name] = [a.dtype.str, at, len(a)]
-        at += -(-a.nbytes // 8) * 8
-    text = json.dumps(head).encode()
-    text += b" " * (-len(text) % 8)
-    return b"".join([len(text).to_bytes(8, "little"), text, *(a.tobytes() + b"\0" * (-a.nbytes % 8) for a in parts.values())])
-
-
-def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _place(keys: np.ndarray, bits: int) -> np.ndarray:
-    """A free slot for each key by linear probing, all keys at once."""
-    slots, taken = _slot(keys, bits), np.zeros(1 << bits, bool)
-    todo = np.arange(len(keys))
-    while len(todo):
-        free = todo[~taken[slots[todo]]]
-        _, first = np.unique(slots[free], return_index=True)
-        won = free[first]
-        taken[slots[won]] = True
-        todo = np.setdiff1d(todo, won, assume_unique=True)
-        slots[todo] = (slots[todo] + 1) & ((1 << bits) - 1)
-    return slots
+    return packed({"root": root, "bits": bits}, parts)
 
 
 class Lexicon:
     """A compiled lexicon, memory-mapped."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        size = int.from_bytes(data[:8], "little")
-        head = json.loads(data[8 : 8 + size])
+        head, parts = mapped(path)
         self.root, self.bits = head["root"], head["bits"]
-        for name, (kind, at, n) in head["parts"].items():
-            setattr(self, name, np.frombuffer(data, kind, n, 8 + size + at))
+        for name, part in parts.items():
+            setattr(self, name, part)
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Places of words (bytes of ``data`` between offsets), -1 for words it doesn't hold."""
@@ -322,7 +293,7 @@ class Lexicon:
         step = 0
         while len(live):
             key = state[live] << 8 | data[offsets[live] + step]
-            slot = _slot(key, self.bits)
+            slot = slot_of(key, self.bits)
             there = self.keys[slot]
             miss = np.flatnonzero((there != key) & (there >= 0))
             while len(miss):
