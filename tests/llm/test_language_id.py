@@ -71,3 +71,15 @@ def test_defined_cases(spark):
     assert I.learn_profiles(docs(spark, [])) == {}
     assert {r["lang_pred"] for r in I.identify(d, {}).collect()} == {"und"}
     assert I.identify(docs(spark, []), {}).count() == 0
+
+
+def test_many_languages_are_no_refusal(spark):
+    words = lambda k: " ".join("abcdefghijklmnop"[int(c, 16)] for c in f"{k:04x}") + " " + "".join("qrstuvwxyzäöüßéç"[int(c, 16)] for c in f"{k * 7919 % 65536:04x}")
+    rows = [(k, words(k)) for k in range(2500)]
+    d = docs(spark, rows).drop("lang").selectExpr("*", "concat('l', doc_id) as lang")
+    got = by_id(I.identify(d, I.learn_profiles(d)), "lang_pred")
+    profiles = {f"l{k}": brute_rank(brute_grams(t), I.TOP) for k, t in rows}
+    for k in (0, 7, 1234, 2499):
+        mine = profiles[f"l{k}"]
+        far = {n: sum(abs(i - p.index(g)) if g in p else I.TOP for i, g in enumerate(mine)) for n, p in profiles.items()}
+        assert got[k] == min(sorted(far), key=far.get)

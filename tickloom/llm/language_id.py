@@ -20,14 +20,13 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, slices, table
+from .common import held_out, mapped, packed, publish, ranges, slices, table
 
 TOP = 400
-#: More languages than this are refused, so the profiles that every task gets stay small.
-MOST_LANGUAGES = 2_000
 BATCH_CHARS = 1_000_000
 #: Distinct n-grams a worker counts before it passes the counts on.
 COUNTED = 1_000_000
@@ -145,21 +144,41 @@ def learn_profiles(docs: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
     found: dict[str, list[tuple[int, int]]] = {}
     for lang, gram, rank in best.select("lang", "gram", "rank").toLocalIterator():
         found.setdefault(lang, []).append((rank, gram))
-        if len(found) > MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages")
     return {k: np.array([g for _, g in sorted(v)], np.int64) for k, v in sorted(found.items())}
 
 
 class Profiles:
-    """Profiles side by side: the rank of each n-gram in each language."""
+    """The profiles turned about: for each n-gram the languages that have it and its rank there.
 
-    def __init__(self, profiles: dict[str, np.ndarray], top: int = TOP):
-        self.names = sorted(profiles)
-        self.top = top
-        self.grams = np.unique(np.concatenate([profiles[n] for n in self.names] or [np.zeros(0, np.int64)]))
-        self.rank = np.full((len(self.grams) + 1, len(self.names)), -1, np.int32)
-        for k, name in enumerate(self.names):
-            self.rank[np.searchsorted(self.grams, profiles[name]), k] = np.arange(len(profiles[name]))
+    A language takes at most ``top`` entries, 5 KB, in a file that workers memory-map.
+    """
+
+    def __init__(self, head: dict, parts: dict[str, np.ndarray]):
+        self.names, self.top = head["names"], head["top"]
+        self.grams, self.first, self.lang, self.rank = (parts[n] for n in ("grams", "first", "lang", "rank"))
+
+    @staticmethod
+    def compiled(profiles: dict[str, np.ndarray], top: int = TOP) -> bytes:
+        names = sorted(profiles)
+        sizes = [len(profiles[n]) for n in names]
+        flat = np.concatenate([*(profiles[n] for n in names), np.zeros(0, np.int64)])
+        lang = np.repeat(np.arange(len(names)), sizes)
+        order = np.lexsort((lang, flat))
+        grams, first = np.unique(flat[order], return_index=True)
+        return packed(
+            {"names": names, "top": top},
+            {
+                "grams": grams,
+                "first": np.append(first, len(flat)).astype(np.int64),
+                "lang": lang[order].astype(np.int32),
+                "rank": ranges(np.zeros(len(sizes), np.int64), np.array(sizes, np.int64))[order].astype(np.int32),
+            },
+        )
+
+    @staticmethod
+    @cache
+    def opened(name: str) -> Profiles:
+        return Profiles(*mapped(SparkFiles.get(name)))
 
     def judge(self, text: str | None) -> tuple[str, float]:
         """The language at the least distance; the score is its lead: 1 - least / next least."""
@@ -167,9 +186,13 @@ class Profiles:
         if not len(mine) or not self.names:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.grams, mine), max(len(self.grams) - 1, 0))
-        rank = self.rank[np.where(self.grams[at] == mine, at, len(self.grams))]
-        apart = np.where(rank < 0, self.top, np.abs(rank - np.arange(len(mine))[:, None]))
-        total = apart.sum(axis=0)
+        mine_at = np.flatnonzero(self.grams[at] == mine) if len(self.grams) else np.zeros(0, np.int64)
+        at = at[mine_at]
+        size = self.first[at + 1] - self.first[at]
+        entry = ranges(self.first[at], size)
+        # every n-gram is ``top`` out of place but where a profile has it
+        nearer = self.top - np.abs(self.rank[entry] - np.repeat(mine_at, size))
+        total = self.top * len(mine) - np.bincount(self.lang[entry], nearer, len(self.names)).astype(np.int64)
         best = int(np.argmin(total))
         others = np.delete(total, best)
         least = int(others.min()) if len(others) else self.top * len(mine)
@@ -179,9 +202,10 @@ class Profiles:
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], top: int = TOP) -> DataFrame:
     """doc_id, lang_pred, score from the text alone."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    model = Profiles(profiles, top)
+    name = publish(docs.sparkSession, Profiles.compiled(profiles, top), "profiles")
 
     def run(batches):
+        model = Profiles.opened(name)
         for batch in batches:
             texts = batch.column(1)
             for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_CHARS):
