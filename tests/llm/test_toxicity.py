@@ -1,8 +1,9 @@
 import random
+import zlib
 
 import numpy as np
 
-from tests.llm.helpers import by_id, docs, words
+from tests.llm.helpers import by_id, docs, parquet, words
 from tickloom.llm import toxicity as X
 
 
@@ -64,3 +65,39 @@ def test_defined_cases(spark):
     assert X.score(empty, model).count() == 0 and X.reject_toxic(empty, model).count() == 0
     long = docs(spark, [(1, "word " * 300_000 + "bad")])
     assert X.score(long, X.Model({b"bad ": 9.0}, -1.0)).first()["predicted"] == 1
+
+
+def brute_model_score(model, text):
+    """The sigmoid of the bias and the weights of the distinct words and prefixes of a text."""
+    low = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in (text or "").lower())
+    parts = set()
+    for w in (x.encode() for x in low.split(" ")):
+        if w:
+            parts |= {w + b" ", w[:4], w[:5], w[:6]}
+    total = model.bias + sum(model.weights.get(f, 0.0) for f in parts)
+    return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
+
+
+def test_query_against_brute_force(spark):
+    """Whole query: scores from the model, and the held-out rule."""
+    sf = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r for r in X.op7_toxicity(spark, sf).collect()}
+    d = parquet(f"{sf}/documents.parquet")
+    assert len(rows) == len(d)
+    model = X.learn_open(X.table(spark, sf, "documents"), X.table(spark, sf, "labels"))
+    for i, t in zip(d.doc_id, d.text):
+        r = rows[i]
+        assert abs(r["score"] - brute_model_score(model, t)) < 1e-9
+        assert r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_held_out_labels(spark):
+    """Where nothing was learnt; a hundredth of this table has too few toxic rows to learn from."""
+    sf = "/root/testdata/sf0.1"
+    rows = {r["doc_id"]: r for r in X.op7_toxicity(spark, sf).collect()}
+    labels = parquet(f"{sf}/labels.parquet")
+    held = [(rows[i]["predicted"], t) for i, t in zip(labels.doc_id, labels.toxic) if rows[i]["held_out"]]
+    toxic = [p for p, t in held if t == 1]
+    clean = [p for p, t in held if t == 0]
+    assert len(toxic) >= 50 and np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.02

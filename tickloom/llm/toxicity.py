@@ -8,7 +8,7 @@ Features are the distinct words of a text and their first bytes (inflected words
 where they are significantly more or less frequent in toxic text, and scaled by their log-ratio.
 
 The fit uses at most ``positives`` toxic documents and ``unlabelled`` others, the first by a hash of
-doc_id, and at most ``features`` features; scoring reads whole texts of all documents.
+doc_id, and all features of theirs that are significant; scoring reads whole texts of all documents.
 
 Defined cases: a null or wordless text scores as a text without features; without a toxic row to
 learn from every score is 0; a null label or doc_id is not learnt from; a doc_id that is labelled
@@ -26,14 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, materialise, slices, table
+from .common import held_out, materialised, remove_path, slices, table
 
 POSITIVES = 3_000
 UNLABELLED = 9_000
-FEATURES = 5_000
 #: Bytes of a word that are features besides the word.
 PREFIXES = (4, 5, 6)
-#: Least significance of a feature, in standard deviations, and least toxic documents with it.
+#: Least significance of a feature, in standard deviations: of some 100,000 words that have nothing to
+#: do with toxicity a handful pass by chance. A feature of one or two documents tells those documents
+#: and no kind, however few the toxic ones are.
 LEAST_Z = 4.0
 LEAST_DOCS = 3
 STEPS = 300
@@ -129,7 +130,6 @@ def learn(
     labels: DataFrame,
     positives: int = POSITIVES,
     unlabelled: int = UNLABELLED,
-    features: int = FEATURES,
 ) -> Model:
     """The model of the documents and labels given; hold rows out before."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -142,10 +142,18 @@ def learn(
     toxic = known.filter("toxic = 1").select("doc_id").join(ids, "doc_id", "left_semi").orderBy(*order).limit(positives)
     drawn = ids.orderBy(*order).limit(unlabelled)
     picked = toxic.withColumn("positive", F.lit(True)).union(drawn.withColumn("positive", F.lit(False)))
-    picked = materialise(picked, "picked")  # at most positives + unlabelled ids
+    picked, drawn_ids = materialised(picked, "picked")  # at most positives + unlabelled ids
     chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    sample = materialise(chosen.select("doc_id", "positive", "text").dropDuplicates(["doc_id", "positive"]), "sample")
+    chosen = chosen.select("doc_id", "positive", "text").dropDuplicates(["doc_id", "positive"])
+    sample, drawn_texts = materialised(chosen, "sample")
+    model = _learn_from(sample, prior)
+    for path in (drawn_ids, drawn_texts):
+        remove_path(docs.sparkSession, path)
+    return model
 
+
+def _learn_from(sample: DataFrame, prior: float) -> Model:
+    """The model of a bounded table of positive, text."""
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
@@ -159,14 +167,8 @@ def learn(
     both = (F.col("p") + F.col("u") + 1.0) / (n_p + n_u + 2.0)
     apart = (F.col("p") / n_p) - (F.col("u") / n_u)
     z = F.abs(apart) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
-    best = (
-        counts.filter(F.col("p") + F.col("u") >= LEAST_DOCS)
-        .withColumn("z", z)
-        .filter(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "feature")
-        .limit(features)
-    )
-    rows = best.collect()
+    # the features of a bounded sample, significant ones only
+    rows = sorted(counts.filter(F.col("p") + F.col("u") >= LEAST_DOCS).filter(z >= LEAST_Z).collect())
     if not rows:
         return Model({}, float(np.log(prior / (1 - prior))))
     names = [bytes(r["feature"]) for r in rows]
