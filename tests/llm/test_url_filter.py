@@ -57,3 +57,13 @@ def test_empty_and_repeated(spark):
     twice = pages(spark, ["http://a.net/es/"]).union(pages(spark, ["http://a.net/es/"]))
     assert [r["verdict"] for r in U.judge_urls(twice, rules).collect()] == ["block", "block"]
     assert {r["verdict"] for r in U.judge_urls(twice, []).collect()} == {"allow"}
+
+
+def test_null_ids_and_rules_of_equal_length(spark, monkeypatch):
+    frame = spark.createDataFrame([(None, "http://a.bc/d"), (None, None), (1, "http://x.a.bc/d")], "page_id long, url string")
+    rules = [U.Rule("allow", "bc", "/d" + "*"), U.Rule("block", "a.bc", "/"), U.Rule("allow", "a.bc", "/")]
+    for cells in (4_000_000, 1):  # one URL at a time gives the same
+        monkeypatch.setattr(U, "BATCH_CELLS", cells)
+        got = sorted(((r["page_id"], r["host"], r["rule"], r["verdict"]) for r in U.judge_urls(frame, rules).collect()), key=repr)
+        # of equal lengths the longer host wins, then the rule given first
+        assert got == sorted([(None, "a.bc", "a.bc/", "block"), (None, "", None, "allow"), (1, "x.a.bc", "a.bc/", "block")], key=repr)

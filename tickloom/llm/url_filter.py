@@ -7,7 +7,8 @@ code point leads into and ``stays`` those of a wildcard that it may be part of.
 
 A rule (verdict, host, path) becomes two globs, ``host|path*`` and ``*.host|path*``; ``*`` before
 the separator takes no separator. ``*`` and ``?`` (no slash) in a rule are wildcards too. Of the rules that fit
-a URL the longest wins (by host and path together, then by host, then the first given).
+a URL the longest wins (by host and path together, then by host, then the first given). Memory is
+bounded by the batch and the rules: a URL more when it fits, one at least.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and fits no rule; repeated
 rows repeat; a null page_id is kept. Other columns are ignored. No row is shuffled.
@@ -26,6 +27,7 @@ from .common import UPPER, LOWER, slices, table
 
 #: Parts host and path in a canonical URL; no URL's host can hold it, as it ends at a slash.
 SEPARATOR = "/"
+#: Code points and words of states that are in memory for a batch.
 BATCH_CELLS = 4_000_000
 DEFAULT = "allow"
 
@@ -104,7 +106,8 @@ class GlobAutomaton:
         start = 0
         while start < len(order):  # texts of like length together, so that padding stays small
             stop = start + 1
-            while stop < len(order) and (stop + 1 - start) * (sizes[stop] + 1) <= BATCH_CELLS:
+            # a URL takes its padded code points and a few copies of the states
+            while stop < len(order) and (stop + 1 - start) * (sizes[stop] + 1 + 8 * self.words) <= BATCH_CELLS:
                 stop += 1
             chosen = order[start:stop]
             fits[chosen] = self._run([texts[i] for i in chosen], sizes[start:stop])
