@@ -82,7 +82,8 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """_id, _text_hash, _lost: positions of the lines that the document with that text loses."""
-    keyed = line_keys(docs, min_chars)
+    # written once, 50 bytes a line, as the texts would be split and hashed again for the join
+    keyed = materialise(line_keys(docs, min_chars), "line-keys")
     common = (
         keyed.select("_id", "h")
         .distinct()
@@ -149,14 +150,16 @@ def dedup_documents(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     def run(batches):
         for batch in batches:
             field = batch.schema.field(at)
-            texts, places = batch.column(at), batch.column(batch.num_columns - 1)
-            kept = [
-                without_lines(t.cast(pa.binary()).as_py(), p.as_py())[0] if p.is_valid and t.is_valid else t.cast(pa.binary()).as_py()
-                for t, p in zip(texts, places)
-            ]
-            columns = [*batch.columns[:-1]]
-            columns[at] = pa.array(kept, pa.binary()).cast(field.type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+            texts = batch.column(at).cast(pa.binary())
+            for start, stop in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
+                part = batch.slice(start, stop - start)
+                raws = texts.slice(start, stop - start).to_pylist()
+                places = part.column(part.num_columns - 1).to_pylist()
+                columns = part.columns[:-1]
+                if any(places):
+                    kept = [without_lines(r, p)[0] if p and r is not None else r for r, p in zip(raws, places)]
+                    columns[at] = pa.array(kept, pa.binary()).cast(field.type)
+                yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
 
     docs_columns = docs.columns
     return marked.select(*[docs[c] for c in docs_columns], lost.alias("_lost_lines")).mapInArrow(run, docs.schema)
