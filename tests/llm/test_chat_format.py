@@ -1,5 +1,7 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from tests.llm.helpers import SF, collected, parquet
 from tickloom.llm import chat_format as C
 
@@ -35,6 +37,7 @@ def test_round_trip_and_mask(spark):
         for span in row["loss"]:
             part = row["formatted"][span["start"] : span["start"] + span["length"]]
             assert "<|" not in part
+            assert row["formatted"].encode()[span["at"] : span["at"] + span["bytes"]].decode() == part
     one = {r["conv_id"]: r["formatted"] for r in done.collect()}[1]
     assert one.count(C.OPEN) == 3 and one.count(C.NEXT) == 1  # two assistant turns are one block
 
@@ -61,3 +64,27 @@ def test_query_against_brute_force(spark):
         learnt = "".join(x for r, x in turns if r == "assistant")
         want.append((c, len(turns), sha("".join(f"{r}\n{x}\n" for r, x in turns)), len(learnt), sha(learnt)))
     assert got == sorted(want, key=repr)
+
+
+def test_time_grows_with_the_turns(spark):
+    """One conversation of many blocks, and one of a single block."""
+    import time
+
+    def seconds(n, blocks):
+        text = "some words é of a turn " * 8
+        rows = spark.range(n).selectExpr(
+            "1L as conv_id", "id as turn", f"if(id % 2 = 0 or not {blocks}, 'assistant', 'user') as role", f"concat(id, '{text}') as text"
+        )
+        began = time.perf_counter()
+        done = C.format_conversations(rows)
+        row = done.select(F.size(C.read_turns(done["formatted"])).alias("n"), F.sha2(C.learnt_text(done["formatted"], done["loss"]), 256).alias("h")).first()
+        assert row["n"] == n
+        said = "".join(f"{i}{text}" for i in range(n) if i % 2 == 0 or not blocks)
+        assert row["h"] == hashlib.sha256(said.encode()).hexdigest()
+        return time.perf_counter() - began
+
+    for blocks in (True, False):
+        seconds(100, blocks)
+        few, many = seconds(4000, blocks), seconds(32_000, blocks)
+        print(few, many)
+        assert many < 16 * few + 2

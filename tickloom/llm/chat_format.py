@@ -1,10 +1,12 @@
 """Chat formatting with DataFrame expressions only.
 
 The turns of a conversation are collected as structs, sorted, and adjacent turns of one role are
-merged by an array aggregation into blocks. A block is ``<|open|>role<|head|>text<|close|>``, where
+merged into blocks by array expressions. A block is ``<|open|>role<|head|>text<|close|>``, where
 ``<|next|>`` parts merged turns, so the turns can be read back. A backslash in a text or role is
 doubled and ``<|`` becomes ``<\\|``, so no text can hold a mark, whatever control strings it quotes.
-The loss mask is a list of code point ranges of the formatted text: each assistant turn's text.
+The loss mask is a list of ranges of the formatted text, in code points and in bytes: each assistant
+turn's text. Where a turn begins is a running sum over the turns before; what an array needs of
+another is looked up by place, so time grows with the turns and not with their square.
 
 Defined cases: a null text is empty; a null role is the empty role; turns sort by (turn, role,
 text), nulls first, so ties and repeated rows have one order and all stay; rows with a null conv_id
@@ -14,7 +16,7 @@ turns meet in one task; conversations are dealt by a hash of conv_id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -31,85 +33,107 @@ def unescaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for all that ``use`` looks up in it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def merge_turns(turns: Column) -> Column:
     """array<struct<role, text>> -> array<struct<role, texts>>: adjacent turns of one role together."""
-    kind = "array<struct<role:string,texts:array<string>>>"
 
-    def add(blocks: Column, turn: Column) -> Column:
-        last = F.get(blocks, F.size(blocks) - 1)
-        longer = F.struct(
-            last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts")
+    def blocks(turns: Column) -> Column:
+        n = F.size(turns)
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        first = F.filter(places, lambda i: (i == 0) | (F.get(turns, i - 1)["role"] != F.get(turns, i)["role"]))
+        return _let(
+            first,
+            lambda first: F.transform(
+                first,
+                lambda start, k: F.struct(
+                    F.get(turns, start)["role"].alias("role"),
+                    F.transform(
+                        F.sequence(start, F.coalesce(F.get(first, k + 1), n) - 1), lambda i: F.get(turns, i)["text"]
+                    ).alias("texts"),
+                ),
+            ),
         )
-        new = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        return F.when(
-            (F.size(blocks) > 0) & (last["role"] == turn["role"]),
-            F.concat(F.slice(blocks, F.lit(1), F.size(blocks) - 1), F.array(longer)),
-        ).otherwise(F.concat(blocks, F.array(new)))
 
-    return F.aggregate(turns, F.array().cast(kind), add)
+    return _let(turns, blocks)
 
 
 def format_conversations(conversations: DataFrame, learnt: str = LEARNT) -> DataFrame:
-    """conv_id, formatted, loss: array<struct<start, length>> of code points from 0."""
-    turn = F.struct(
-        "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    """conv_id, formatted, loss: array<struct<start, length, at, bytes>> from 0: code points, then bytes."""
+    turns = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    sorted_turns = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    shielded = F.transform(
-        "turns", lambda t: F.struct(escaped(t["role"]).alias("role"), escaped(t["text"]).alias("text"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    shielded = turns.select(
+        "*",
+        escaped(F.col("role")).alias("role_out"),
+        escaped(F.col("text")).alias("text_out"),
+        (F.lag("role").over(order).isNull() | (F.lag("role").over(order) != F.col("role"))).alias("opens"),
+        (F.lead("role").over(order).isNull() | (F.lead("role").over(order) != F.col("role"))).alias("closes"),
     )
-    blocks = sorted_turns.select("conv_id", merge_turns(shielded).alias("blocks"))
+
+    def where(size) -> tuple[Column, Column]:
+        """Where a turn's text begins, and its size."""
+        lead = F.when(F.col("opens"), len(OPEN) + size("role_out") + len(HEAD)).otherwise(len(NEXT))
+        whole = (lead + size("text_out") + F.when(F.col("closes"), len(CLOSE)).otherwise(0)).cast("long")
+        before = F.sum(whole).over(order.rowsBetween(Window.unboundedPreceding, 0)) - whole
+        return before + lead, size("text_out").cast("long")
+
+    (start, length), (at, size) = where(F.length), where(F.octet_length)
+    placed = shielded.select(
+        "conv_id",
+        F.struct(
+            start.alias("start"), F.col("role_out").alias("role"), F.col("text_out").alias("text"), length.alias("length"), at.alias("at"), size.alias("bytes")
+        ).alias("turn"),
+    )
+    # a turn begins after all before it, so the sorted structs are in order of the turns
+    gathered = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     formatted = F.array_join(
         F.transform(
-            "blocks",
+            merge_turns(F.col("turns")),
             lambda b: F.concat(F.lit(OPEN), b["role"], F.lit(HEAD), F.array_join(b["texts"], NEXT), F.lit(CLOSE)),
         ),
         "",
     )
-    ranges = "array<struct<start:bigint,length:bigint>>"
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(ranges).alias("spans"))
-
-    def text_span(acc: Column, text: Column) -> Column:
-        size = F.length(text).cast("bigint")
-        span = F.struct(acc["at"].alias("start"), size.alias("length"))
-        return F.struct(
-            (acc["at"] + size + len(NEXT)).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")
-        )
-
-    def block_spans(acc: Column, block: Column) -> Column:
-        body = F.struct((acc["at"] + len(OPEN) + F.length(block["role"]) + len(HEAD)).alias("at"), acc["spans"].alias("spans"))
-        done = F.aggregate(block["texts"], body, text_span)
-        spans = F.when(block["role"] == escaped(F.lit(learnt)), done["spans"]).otherwise(acc["spans"])
-        return F.struct((done["at"] - len(NEXT) + len(CLOSE)).alias("at"), spans.alias("spans"))
-
-    return blocks.select(
-        "conv_id", formatted.alias("formatted"), F.aggregate("blocks", state, block_spans)["spans"].alias("loss")
+    mask = F.transform(
+        F.filter("turns", lambda t: t["role"] == escaped(F.lit(learnt))),
+        lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length"), t["at"].alias("at"), t["bytes"].alias("bytes")),
     )
+    return gathered.select("conv_id", formatted.alias("formatted"), mask.alias("loss"))
 
 
 def read_turns(formatted: Column) -> Column:
     """array<struct<role, text>> of the turns in a formatted text."""
-    blocks = F.filter(F.split(formatted, r"<\|close\|>", -1), lambda b: b != "")
-    turns = F.transform(
-        blocks,
-        lambda b: F.transform(
-            F.split(F.substring_index(b, HEAD, -1), r"<\|next\|>", -1),
-            lambda t: F.struct(
-                unescaped(F.replace(F.substring_index(b, HEAD, 1), F.lit(OPEN), F.lit(""))).alias("role"),
-                unescaped(t).alias("text"),
-            ),
+    raw = F.filter(F.split(formatted, r"<\|close\|>", -1), lambda b: b != "")
+    blocks = F.transform(
+        raw,
+        lambda b: F.struct(
+            unescaped(F.replace(F.substring_index(b, HEAD, 1), F.lit(OPEN), F.lit(""))).alias("role"),
+            F.split(F.substring_index(b, HEAD, -1), r"<\|next\|>", -1).alias("texts"),
         ),
     )
-    return F.flatten(turns)
+    return F.flatten(
+        F.transform(
+            blocks,
+            lambda b: F.transform(b["texts"], lambda t: F.struct(b["role"].alias("role"), unescaped(t).alias("text"))),
+        )
+    )
 
 
 def learnt_text(formatted: Column, loss: Column) -> Column:
-    """What the mask covers, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(
-            loss, lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))
+    """What the mask covers, unescaped, nothing between; cut by bytes, which no search precedes."""
+    return _let(
+        formatted.cast("binary"),
+        lambda raw: F.array_join(
+            F.transform(
+                loss,
+                lambda s: unescaped(F.substring(raw, (s["at"] + 1).cast("int"), s["bytes"].cast("int")).cast("string")),
+            ),
+            "",
         ),
-        "",
     )
 
 
