@@ -49,12 +49,47 @@ def test_merge_replaces_inserts_and_never_matches_null(spark):
 
 
 def test_versions_of_a_table(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    assert merge.current_version(spark, path) == 0
-    for i in range(3):
-        merge.write_merged(spark, path, spark.createDataFrame([(i % 2, i)], "k int, v int"), ["k"])
-    assert merge.current_version(spark, path) == 3
-    assert sorted((r["k"], r["v"]) for r in merge.read_merged(spark, path).collect()) == [(0, 2), (1, 1)]
+    table = merge.Table(spark, f"file://{tmp_path}/t")
+    assert table.version() == 0
+    for i in range(4):
+        table.merge(spark.createDataFrame([(i % 2, i)], "k int, v int"), ["k"])
+    assert table.versions() == [3, 4]  # old versions go, and their files
+    assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [(0, 2), (1, 3)]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == merge.KEPT
+
+
+def months(spark, rows):
+    return spark.createDataFrame(rows, "symbol string, date date, v int")
+
+
+def test_only_touched_partitions_change(spark, tmp_path):
+    table = merge.Table(spark, f"file://{tmp_path}/t", "date", ("symbol",))
+    table.merge(months(spark, [("A", D(2020, 1, 5), 1), ("B", D(2020, 2, 5), 2), ("A", D(2020, 3, 5), 3), ("A", None, 4)]), ["symbol", "date"])
+    before = table.parts()
+    assert sorted(before) == ["2020-01", "2020-02", "2020-03", "none"]
+    table.merge(months(spark, [("B", D(2020, 2, 5), 20), ("C", D(2020, 2, 6), 5), ("C", D(2020, 4, 1), 6)]), ["symbol", "date"])
+    after = table.parts()
+    assert {p for p in after if after[p] != before.get(p)} == {"2020-02", "2020-04"}
+    assert sorted(r["v"] for r in table.read().collect()) == [1, 3, 4, 5, 6, 20]
+    assert sorted(r["v"] for r in table.read(since=D(2020, 3, 20)).collect()) == [3, 4, 6]
+    assert sorted(r["v"] for r in table.read(["2020-02"]).collect()) == [5, 20]
+    files = {f for of in after.values() for f in of}
+    table.append(months(spark, [("Z", D(2020, 2, 7), 7)]))
+    assert files <= {f for of in table.parts().values() for f in of}  # an append leaves all files
+    wide = months(spark, [("A", D(2020, 1, 5), 9)]).withColumn("w", F.lit("new"))
+    table.merge(wide, ["symbol", "date"])
+    assert sorted(((r["v"], r["w"]) for r in table.read().collect()), key=repr) == sorted([(9, "new"), (20, None), (5, None), (7, None), (3, None), (6, None), (4, None)], key=repr)
+    with pytest.raises(ValueError):
+        table.merge(wide, ["symbol"])
+
+
+def test_empty_tables(spark, tmp_path):
+    table = merge.Table(spark, f"file://{tmp_path}/t", "date")
+    table.replace(months(spark, []))
+    assert table.read().count() == 0 and table.version() == 1
+    table.merge(months(spark, [("A", D(2020, 1, 5), 1)]), ["symbol", "date"])
+    table.merge(months(spark, []), ["symbol", "date"])
+    assert table.read().count() == 1
 
 
 def test_quality(spark):
@@ -69,6 +104,8 @@ def test_quality(spark):
     assert count(quality.accepted_values(df, "k", ["a"], "v < 2")) == 0
     assert count(quality.accepted_range(df, "v", 1, 2)) == 1
     assert count(quality.accepted_range(df, "v", 1, 2, inclusive=False)) == 3
+    assert count(df.filter(quality.is_missing("v"))) == 1 and count(df.filter(quality.is_other_than("k", ["a"]))) == 1
+    assert count(df.filter(quality.is_beyond("v", 1, 2))) == 1 and count(df.filter(quality.is_beyond("v", 2))) == 1
     dup = spark.createDataFrame([("a", 1, None), ("a", 1, "x"), ("b", 2, "y"), ("b", 2, "y"), ("c", 3, None)], "k string, v int, w string")
     assert [r["k"] for r in quality.duplicates_differ(dup, ["k"], ["v", "w"]).collect()] == ["a"]
 

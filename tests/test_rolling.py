@@ -70,6 +70,57 @@ def test_beta_and_correlation_edges(spark):
     assert all(r["corr_vs_sector_252d"] is None for (s, _), r in got.items() if s == "SHORT")
 
 
+def brute_measures(r, m, n, least):
+    """Of the last n pairs: beta (all, up, down) and correlation, by definition; null as nan."""
+    out = []
+    for i in range(len(r)):
+        a, b = r[max(0, i - n + 1) : i + 1], m[max(0, i - n + 1) : i + 1]
+        row = []
+        for mask in (np.ones(len(b), bool), b >= 0, b < 0):
+            x, y = np.where(mask, a, np.nan), np.where(mask, b, np.nan)
+            both, alone = ~np.isnan(x) & ~np.isnan(y), ~np.isnan(y)
+            if (~np.isnan(x)).sum() < least or both.sum() < 2 or alone.sum() < 2 or np.ptp(y[alone]) == 0:
+                row.append(np.nan)
+            else:
+                row.append(np.cov(x[both], y[both])[0, 1] / np.var(y[alone], ddof=1))
+        both = ~np.isnan(a) & ~np.isnan(b)
+        flat = both.sum() < 2 or np.ptp(a[both]) == 0 or np.ptp(b[both]) == 0
+        row.append(np.nan if flat or (~np.isnan(a)).sum() < least else np.corrcoef(a[both], b[both])[0, 1])
+        out.append(row)
+    return np.array(out)
+
+
+def test_measures_match_their_definition(spark):
+    """Betas up and down have values here; series cross batches of every size; nulls and flat runs occur."""
+    rng = np.random.default_rng(7)
+    day = dt.date(2020, 1, 1)
+    data, want = [], {}
+    for symbol in ("A", "B", "C"):
+        n = int(rng.integers(60, 90))
+        r, m = rng.normal(0, 0.02, n), rng.normal(0, 0.01, n)
+        r[rng.random(n) < 0.1] = np.nan
+        m[rng.random(n) < 0.05] = np.nan
+        r[20:45] = 0.1
+        want[symbol] = brute_measures(r, m, 12, 3)
+        for i in range(n):
+            a, b = (None if np.isnan(v) else float(v) for v in (r[i], m[i]))
+            data.append((symbol, symbol, day + dt.timedelta(i), a, b, b))
+    df = spark.createDataFrame(data, "ticker_key string, symbol string, date date, r double, m double, s double")
+    names = ["beta_full_252d", "beta_upside_252d", "beta_downside_252d", "corr_vs_index_252d"]
+    for size in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            rows = relationships(df, 12, 3).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(rows) == len(data)
+        for row in rows:
+            got = np.array([np.nan if row[c] is None else row[c] for c in names])
+            np.testing.assert_allclose(got, want[row["symbol"]][(row["date"] - day).days], rtol=1e-9, atol=1e-11)
+    up, down = want["A"][:, 1], want["A"][:, 2]
+    assert (~np.isnan(up)).sum() > 20 and (~np.isnan(down)).sum() > 20
+
+
 def test_truncated_ema_matches_the_sum():
     x = np.array([3.0, np.nan, 5.0, 8.0, 13.0, np.nan, 21.0])
     got = R.truncated_ema(x, 0.2, 4)

@@ -65,7 +65,10 @@ class Feed:
     def prices(self, symbols):
         day = dt.date(2024, 1, 5)
         rows = [("A", day, 1.0, 2.0, 1.0, 1.5, 10, False), ("B", day, None, 2.0, 1.0, 1.5, 10, False)]
-        return self.frame("prices", rows, "symbol string, date date, open double, high double, low double, close double, volume long, is_anomaly boolean")
+        shape = "symbol string, date date, open double, high double, low double, close double, volume long, is_anomaly boolean"
+        wanted = sorted(r["symbol"] for r in symbols.collect())
+        for s in wanted:
+            yield s, lambda s=s: self.frame(f"prices {s}", [r for r in self.over.get("prices", rows) if r[0] == s], shape).drop("symbol")
 
 
 def store(spark, tmp_path):
@@ -92,7 +95,30 @@ def test_failures(spark, tmp_path):
     with pytest.raises(feeds.IngestFailed):
         feeds.run_ingest(s, Feed(spark, prices=[]), ["I"], NOW)
     report = feeds.run_ingest(s, Feed(spark, symbols=ValueError("down"), sectors=ValueError("down"), eligible=ValueError("down")), ["I"], NOW)
-    assert [x.split(":")[0] for x in report.skipped] == ["eligible", "symbols", "sectors"]
+    assert [x.split(":")[0] for x in report.skipped if "prices" not in x] == ["eligible", "symbols", "sectors"]
+
+
+def test_a_ticker_that_fails_is_left_out(spark, tmp_path):
+    s = store(spark, tmp_path)
+    report = feeds.run_ingest(s, Feed(spark, **{"prices B": ValueError("down")}), ["I"], NOW)
+    assert report.skipped == ["prices of B: down"] and report.valid_prices == 1
+    assert s.latest_hashes("stock_history", ["symbol"], "A").count() == 1
+    assert s.latest_hashes("stock_history", ["symbol"], "B").count() == 0
+    with pytest.raises(feeds.IngestFailed):
+        feeds.run_ingest(s, Feed(spark, **{"prices A": ValueError("down"), "prices B": ValueError("down")}), ["I"], NOW)
+
+
+def test_a_load_leaves_the_files_of_other_months(spark, tmp_path):
+    s = store(spark, tmp_path)
+    row = lambda day, close: ("A", day, 1.0, 9.0, 1.0, close, 10, False)
+    jan, feb, mar = dt.date(2024, 1, 5), dt.date(2024, 2, 5), dt.date(2024, 3, 5)
+    feeds.run_ingest(s, Feed(spark, prices=[row(jan, 1.5), row(feb, 2.5)]), ["I"], NOW)
+    before = s.table("stock_history").parts()
+    feeds.run_ingest(s, Feed(spark, prices=[row(feb, 2.75), row(mar, 3.5)]), ["I"], NOW + dt.timedelta(days=60))
+    after = s.table("stock_history").parts()
+    assert after["2024-01"] == before["2024-01"] and after["2024-02"] != before["2024-02"] and "2024-03" in after
+    got = {(r["date"], r["close"], r["is_latest"]) for r in s.read("stock_history").collect()}
+    assert got == {(jan, 1.5, True), (feb, 2.5, False), (feb, 2.75, True), (mar, 3.5, True)}
 
 
 def test_missing_table_reads_as_empty(spark, tmp_path):

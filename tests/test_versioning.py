@@ -99,6 +99,28 @@ def test_scd2_changes_gaps_and_nulls(spark):
     assert len({r["scd_id"] for r in dim.collect()}) == 5
 
 
+def test_a_null_that_moves_is_a_change(spark):
+    rows = spark.createDataFrame(
+        [("A", None, "X", True, True, True, True), ("A", "X", None, True, True, True, True)],
+        "symbol string, name string, sector_name string, is_etf boolean, is_debt boolean, is_gem boolean, is_margin_eligible boolean",
+    )
+    assert rows.select(V.symbol_hash().alias("h")).distinct().count() == 2
+    text = "A|None|X|True|True|True|True"
+    assert rows.select(V.symbol_hash().alias("h")).first()["h"] == hashlib.sha256(text.encode()).hexdigest()
+    assert prices(spark, [(*AAA[:5], None, 1, False), (*AAA[:4], None, AAA[5], 1, False)]).select("row_hash").distinct().count() == 2
+
+
+def test_plan_grows_by_one_join_for_a_snapshot(spark):
+    source = spark.createDataFrame([("A", "a", None)], "symbol string, name string, is_etf boolean")
+    dim, joins = V.empty_dimension(spark, source), []
+    for i in range(6):
+        dim = V.scd2(dim, source, D + dt.timedelta(i))
+        joins.append(dim._jdf.queryExecution().analyzed().toString().count("Join "))
+    assert joins == [1, 2, 3, 4, 5, 6]
+    row = dim.first()
+    assert row["valid_from"] == row["updated_at"] == D and dim.count() == 1
+
+
 def test_conform(spark):
     rows = spark.createDataFrame([("A",)], "symbol string")
     with pytest.raises(KeyError):

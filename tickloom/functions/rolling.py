@@ -1,11 +1,13 @@
-"""Rolling measures as column expressions over row frames of one entity ordered by date."""
+"""Rolling measures over row frames of one entity ordered by date: column expressions, or numpy over a series."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def ordered(*by: str, order: str = "date") -> WindowSpec:
@@ -39,29 +41,6 @@ def rsi(gain: Column, loss: Column, w: WindowSpec) -> Column:
     )
 
 
-def beta(x: Column, m: Column, w: WindowSpec, least: int, where: Column | None = None) -> Column:
-    """WAG-6..8: covariance over variance, where the frame has ``least`` values of x.
-
-    ``where`` masks both inputs, as for the upside and downside forms.
-    """
-    if where is not None:
-        x, m = F.when(where, x), F.when(where, m)
-    slope = F.try_divide(F.covar_samp(x, m).over(w), F.var_samp(m).over(w))
-    return F.when(F.count(x).over(w) >= least, slope)
-
-
-def correlation(x: Column, y: Column, w: WindowSpec, least: int = 0, of: Column | None = None) -> Column:
-    """WAG-9, WAG-10: from moments, null for a constant frame also where ``corr`` would raise.
-
-    ``least`` values of ``of`` (x by default) must be in the frame; FLT-6 keeps [-1, 1].
-    """
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.stddev_samp(F.when(both, x)).over(w) * F.stddev_samp(F.when(both, y)).over(w)
-    raw = F.round(F.try_divide(F.covar_samp(x, y).over(w), spread), 12)
-    kept = F.when(raw.between(-1, 1), raw)
-    return F.when(F.count(x if of is None else of).over(w) >= least, kept) if least else kept
-
-
 def compound(r: Column, w: WindowSpec, n: int) -> Column:
     """WAG-11: product of 1 + r over n rows, less 1; null unless all n are above -1."""
     valid = r > -1
@@ -82,6 +61,47 @@ def rank_and_quintile(x: Column, day: str, descending: bool, tie: str) -> tuple[
     )
 
 
+# -- series ------------------------------------------------------------------------------------
+
+
+def with_series(df: DataFrame, by: list[str], order: str, back: int, make, new: list[str], dealt: bool = False) -> DataFrame:
+    """Add the double columns ``new`` that ``make`` computes from the series of an entity.
+
+    ``make`` gets columns by name (numpy, null as NaN) in order, and a row's values may depend on the
+    ``back`` rows before it. Rows stream past in batches, each begun with what it needs of the batch
+    before, so memory is bounded whatever a series' length. ``dealt`` says that an entity's rows are in
+    one partition already; a sort that is there already is not repeated.
+    """
+    rows = df if dealt else df.repartition(*by)
+    rows = rows.sortWithinPartitions(*by, order)
+    names, keys = df.columns, list(by)
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
+    schema = StructType([*df.schema.fields, *[StructField(n, DoubleType()) for n in new]])
+
+    def run(batches):
+        carry: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fresh = pa.Table.from_batches([batch])
+            rows = fresh if carry is None else pa.concat_tables([carry, fresh])
+            old = rows.num_rows - fresh.num_rows
+            change = np.zeros(rows.num_rows, bool)
+            for k in keys:
+                c = pc.fill_null(rows[k].combine_chunks().cast(pa.string()), "\0null")
+                change[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            edges = np.concatenate(([0], np.flatnonzero(change), [rows.num_rows])).tolist()
+            values = {n: rows[n].to_numpy() for n in numbers}
+            parts = [make({n: v[a:b] for n, v in values.items()}) for a, b in zip(edges, edges[1:])]
+            made = [np.concatenate([p[n] for p in parts])[old:] for n in new]
+            columns = [c.combine_chunks() for c in fresh.columns]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(m, pa.float64(), from_pandas=True) for m in made)], names=[*names, *new])
+            first = max(edges[-2], rows.num_rows - back)
+            carry = rows.slice(first).combine_chunks()
+
+    return rows.mapInArrow(run, schema)
+
+
 def truncated_ema(x: np.ndarray, alpha: float, n: int) -> np.ndarray:
     """LAG-7: weights (1 - alpha)^k over the last n rows; nulls weigh nothing."""
     weights = (1.0 - alpha) ** np.arange(n)
@@ -94,33 +114,93 @@ def truncated_ema(x: np.ndarray, alpha: float, n: int) -> np.ndarray:
 def with_emas(df: DataFrame, by: str, order: str, emas: dict[str, tuple[str, float, int]]) -> DataFrame:
     """Add truncated EMAs, name -> (column, alpha, rows); a later one may use an earlier one.
 
-    Unrolled lags make plans of thousands of expressions, so each entity's series is convolved with
-    numpy, one group of rows at a time.
+    Unrolled lags make plans of thousands of expressions, so series are convolved with numpy.
     """
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{n}` double" for n in emas])
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
+    def make(values: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         for name, (column, alpha, n) in emas.items():
-            group[name] = truncated_ema(group[column].to_numpy(float), alpha, n)
-        return group
+            values[name] = truncated_ema(values[column], alpha, n)
+        return values
 
-    return df.groupBy(by).applyInPandas(run, schema)
+    return with_series(df, [by], order, sum(n - 1 for _, _, n in emas.values()), make, [*emas])
 
 
-def macd(df: DataFrame, value: str = "close") -> DataFrame:
+def macd(df: DataFrame, value: str = "close", dealt: bool = False) -> DataFrame:
     """LAG-8: ema_12, ema_26, macd_line, macd_signal, macd_histogram."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("date", kind="stable")
-        x = group[value].to_numpy(float)
-        group["ema_12"] = truncated_ema(x, 2.0 / 13, 90)
-        group["ema_26"] = truncated_ema(x, 2.0 / 27, 180)
-        group["macd_line"] = group["ema_12"] - group["ema_26"]
-        group["macd_signal"] = truncated_ema(group["macd_line"].to_numpy(float), 0.2, 90)
-        group["macd_histogram"] = group["macd_line"] - group["macd_signal"]
-        return group
-
-    new = ("ema_12", "ema_26", "macd_line", "macd_signal", "macd_histogram")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"{n} double" for n in new])
-    return df.groupBy("symbol").applyInPandas(run, schema)
+    def make(values: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        fast, slow = truncated_ema(values[value], 2.0 / 13, 90), truncated_ema(values[value], 2.0 / 27, 180)
+        line = fast - slow
+        signal = truncated_ema(line, 0.2, 90)
+        return {"ema_12": fast, "ema_26": slow, "macd_line": line, "macd_signal": signal, "macd_histogram": line - signal}
+
+    new = ["ema_12", "ema_26", "macd_line", "macd_signal", "macd_histogram"]
+    return with_series(df, ["symbol"], "date", 179 + 89, make, new, dealt)
+
+
+class Frames:
+    """The last ``n`` rows of each place of a series, as a view; moments are taken about the mean.
+
+    Sums of a frame are taken afresh, not carried from frame to frame, so no rounding builds up.
+    """
+
+    ROWS = 4096
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def each(self, *series: np.ndarray):
+        """(places, frames of each series) in blocks; frames at the start are filled with NaN."""
+        padded = [np.concatenate((np.full(self.n - 1, np.nan), x)) for x in series]
+        views = [np.lib.stride_tricks.sliding_window_view(p, self.n) for p in padded]
+        for a in range(0, len(series[0]), self.ROWS):
+            yield slice(a, a + self.ROWS), [v[a : a + self.ROWS] for v in views]
+
+
+def _moments(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of frames, over the rows where neither is NaN: number, sums of squares and of products about the means."""
+    there = ~(np.isnan(x) | np.isnan(y))
+    n = there.sum(axis=1)
+    least = np.maximum(n, 1)[:, None]
+    dx = np.where(there, x, 0.0)
+    dx = np.where(there, dx - dx.sum(axis=1, keepdims=True) / least, 0.0)
+    dy = np.where(there, y, 0.0)
+    dy = np.where(there, dy - dy.sum(axis=1, keepdims=True) / least, 0.0)
+    return n, (dx * dx).sum(axis=1), (dy * dy).sum(axis=1), (dx * dy).sum(axis=1), there
+
+
+def _constant(x: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Frames without two different values: their spread is zero, whatever rounding makes of it."""
+    return np.where(there, x, -np.inf).max(axis=1) <= np.where(there, x, np.inf).min(axis=1)
+
+
+def beta(x: np.ndarray, m: np.ndarray, n: int, least: int, where: np.ndarray | None = None) -> np.ndarray:
+    """WAG-6..8: covariance over variance of m, where the frame has ``least`` values of x; else NaN.
+
+    ``where`` masks both inputs, as for the upside and downside forms.
+    """
+    if where is not None:
+        x, m = np.where(where, x, np.nan), np.where(where, m, np.nan)
+    out = np.full(len(x), np.nan)
+    for at, (fx, fm) in Frames(n).each(x, m):
+        enough = (~np.isnan(fx)).sum(axis=1) >= least
+        both, _, _, xm, _ = _moments(fx, fm)
+        alone, _, mm, _, there = _moments(fm, fm)
+        ok = enough & (both > 1) & (alone > 1) & ~_constant(fm, there)
+        xm[_constant(fx, ~np.isnan(fx))] = 0.0
+        out[at][ok] = (xm[ok] / (both[ok] - 1)) / (mm[ok] / (alone[ok] - 1))
+    return out
+
+
+def correlation(x: np.ndarray, y: np.ndarray, n: int, least: int = 0) -> np.ndarray:
+    """WAG-9, WAG-10: NaN for a constant frame; FLT-6 keeps [-1, 1] after rounding to 12 decimals.
+
+    ``least`` values of x must be in the frame.
+    """
+    out = np.full(len(x), np.nan)
+    for at, (fx, fy) in Frames(n).each(x, y):
+        both, xx, yy, xy, there = _moments(fx, fy)
+        ok = (both > 1) & ((~np.isnan(fx)).sum(axis=1) >= least) & ~_constant(fx, there) & ~_constant(fy, there)
+        raw = np.round(xy[ok] / np.sqrt(xx[ok]) / np.sqrt(yy[ok]), 12)
+        out[at][ok] = np.where(np.abs(raw) <= 1, raw, np.nan)
+    return out

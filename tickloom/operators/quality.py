@@ -58,15 +58,40 @@ def duplicates_differ(df: DataFrame, keys: list[str], values: list[str]) -> Data
     return grains.filter((F.col("n") > 1) & F.coalesce(differs, F.lit(False))).select(*keys, "n")
 
 
+def is_missing(column: str) -> Column:
+    """DQ-1 as a condition of a row that violates it."""
+    return F.col(column).isNull()
+
+
+def is_beyond(column: str, least=None, most=None) -> Column:
+    """DQ-6 as a condition; null passes."""
+    x, out = F.col(column), F.lit(False)
+    if least is not None:
+        out = out | (x < least)
+    if most is not None:
+        out = out | (x > most)
+    return F.coalesce(out, F.lit(False))
+
+
+def is_other_than(column: str, values: list) -> Column:
+    """DQ-5 as a condition; null passes."""
+    return F.coalesce(~F.col(column).isin(values), F.lit(False))
+
+
 @dataclass(frozen=True)
 class Test:
-    """``find(rows, ref)`` gives the violations; ``severity`` is error or warn."""
+    """``find(rows, ref)`` gives the violations; ``severity`` is error or warn.
+
+    A test of single rows may give the condition that ``where()`` makes in place of ``find``; a runner
+    counts all of a model's in one pass.
+    """
 
     __test__ = False  # not a pytest class
 
     name: str
-    find: Callable[[DataFrame, Callable[[str], DataFrame]], DataFrame]
+    find: Callable[[DataFrame, Callable[[str], DataFrame]], DataFrame] | None = None
     severity: str = "error"
+    where: Callable[[], Column] | None = None
 
     def violations(self, df: DataFrame, ref) -> DataFrame:
-        return self.find(df, ref)
+        return self.find(df, ref) if self.find is not None else df.filter(self.where())

@@ -12,9 +12,15 @@ def _truth(c: str) -> Column:
     return F.when(F.col(c), "True").otherwise("False")
 
 
+def _text(c: str) -> Column:
+    """A word for null, so that a null that moves to another field is a change."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+
 def _fixed(c: str) -> Column:
     """Four decimals. Exact for prices of up to four decimals; ties of longer ones round half up."""
-    return F.format_string("%.4f", F.col(c).cast("double"))
+    x = F.col(c).cast("double")
+    return F.when(x.isNull(), "nan").otherwise(F.format_string("%.4f", x))
 
 
 def ohlcv_hash() -> Column:
@@ -22,13 +28,13 @@ def ohlcv_hash() -> Column:
     return F.sha2(
         F.concat_ws(
             "|",
-            F.col("symbol"),
-            F.date_format("date", "yyyy-MM-dd"),
+            _text("symbol"),
+            F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit("None")),
             _fixed("open"),
             _fixed("high"),
             _fixed("low"),
             _fixed("close"),
-            F.col("volume").cast("bigint").cast("string"),
+            F.coalesce(F.col("volume").cast("bigint").cast("string"), F.lit("None")),
             _truth("is_anomaly"),
         ),
         256,
@@ -38,7 +44,7 @@ def ohlcv_hash() -> Column:
 def symbol_hash() -> Column:
     """VER-2: sha256 of the attributes of a ticker."""
     flags = [_truth(c) for c in ("is_etf", "is_debt", "is_gem", "is_margin_eligible")]
-    return F.sha2(F.concat_ws("|", "symbol", "name", "sector_name", *flags), 256)
+    return F.sha2(F.concat_ws("|", _text("symbol"), _text("name"), _text("sector_name"), *flags), 256)
 
 
 def diff(fresh: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
@@ -74,25 +80,40 @@ def supersede(table: DataFrame, gone: DataFrame, keys: list[str], run_started: C
     )
 
 
-def ingest(table: DataFrame, fresh: DataFrame, keys: list[str], id_column: str, now: Column, delist: bool = False) -> DataFrame:
-    """SNK-2..5: the table's next state, in one plan: changed (and delisted) keys closed, new rows added.
+def changes(current: DataFrame, fresh: DataFrame, keys: list[str], delist: bool = False):
+    """New and changed fresh rows (VER-4), and a function of them that gives the keys to close (VER-5).
 
-    As the whole state is one expression, no crash can leave two latest rows of a key. ``fresh`` has
-    a row_hash; an empty fresh leaves the table as it is.
+    ``current`` has the keys and row_hash of the latest rows. With ``delist`` the keys that fresh lacks
+    are closed too: all of them, where fresh is empty.
     """
-    current = table.filter("is_latest").select(*keys, "row_hash")
     found = diff(fresh, current, keys).filter("change <> 'same'")
-    gone = found.filter("change = 'changed'").select(*keys)
-    if delist:
-        gone = gone.unionByName(delisted(fresh, current, keys))
-    added = (
+
+    def gone(found: DataFrame) -> DataFrame:
+        changed = found.filter("change = 'changed'").select(*keys)
+        return changed.unionByName(delisted(fresh, current, keys)) if delist else changed
+
+    return found, gone
+
+
+def versions_of(found: DataFrame, id_column: str, now: Column) -> DataFrame:
+    """New and changed rows as latest versions."""
+    return (
         found.drop("change")
         .withColumn(id_column, F.expr("uuid()"))
         .withColumn("is_latest", F.lit(True))
         .withColumn("loaded_at", now)
         .withColumn("superseded_at", F.lit(None).cast("timestamp"))
     )
-    return supersede(table, gone, keys, now, now).unionByName(added.select(*table.columns))
+
+
+def ingest(table: DataFrame, fresh: DataFrame, keys: list[str], id_column: str, now: Column, delist: bool = False) -> DataFrame:
+    """SNK-2..5: the table's next state, in one plan: changed (and delisted) keys closed, new rows added.
+
+    ``fresh`` has a row_hash. An empty fresh changes nothing, unless ``delist`` closes all that it lacks.
+    """
+    found, gone = changes(table.filter("is_latest").select(*keys, "row_hash"), fresh, keys, delist)
+    added = versions_of(found, id_column, now)
+    return supersede(table, gone(found), keys, now, now).unionByName(added.select(*table.columns))
 
 
 CHECKED = ("name", "sector_code", "is_etf", "is_debt", "is_gem", "is_margin_eligible")
@@ -102,6 +123,7 @@ def empty_dimension(spark, source: DataFrame) -> DataFrame:
     return spark.createDataFrame([], source.schema).select(
         *source.columns,
         F.lit("").alias("scd_id"),
+        F.lit(None).cast("date").alias("updated_at"),
         F.lit(None).cast("date").alias("valid_from"),
         F.lit(None).cast("date").alias("valid_to"),
     )
@@ -111,31 +133,33 @@ def scd2(dim: DataFrame, source: DataFrame, now: dt.date, checked: tuple[str, ..
     """VER-7: the dimension after a snapshot of the source at ``now``.
 
     Changed (null-safe) or vanished open versions are closed, changed, new and returning symbols get
-    a version; all else stays. One full outer join of open versions and source.
+    a version, updated_at ``now``; all else stays. One full outer join, so a plan of several snapshots
+    grows by one join for each.
     """
     columns = source.columns
     at = F.lit(now).cast("date")
-    open_, closed = dim.filter("valid_to is null"), dim.filter("valid_to is not null")
+    open_ = F.col("valid_to").isNull() & F.col("scd_id").isNotNull()
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in columns])
-    both = open_.join(s, open_["symbol"] == s["_s_symbol"], "full_outer")
+    # a closed version has no key, meets nothing and passes through
+    both = dim.withColumn("_open", F.when(F.col("valid_to").isNull(), F.col("symbol")))
+    both = both.join(s, both["_open"] == s["_s_symbol"], "full_outer")
     differs = F.lit(False)
     for c in checked:
         if c in columns:
             differs = differs | ~F.col(c).eqNullSafe(F.col(f"_s_{c}"))
     missing = F.col("_s_symbol").isNull()
-    had = F.col("symbol").isNotNull()
-    old = F.struct(
-        *[F.col(c) for c in columns], F.col("scd_id"), F.col("valid_from"), F.when(missing | differs, at).alias("valid_to")
-    )
+    had = F.col("scd_id").isNotNull()
+    until = F.when(open_ & (missing | differs), at).otherwise(F.col("valid_to"))
+    old = F.struct(*[F.col(c) for c in columns], "scd_id", "updated_at", "valid_from", until.alias("valid_to"))
     key = F.md5(F.concat_ws("|", F.col("_s_symbol"), at.cast("string")))
     new = F.struct(
         *[F.col(f"_s_{c}").alias(c) for c in columns],
         key.alias("scd_id"),
+        at.alias("updated_at"),
         at.alias("valid_from"),
         F.lit(None).cast("date").alias("valid_to"),
     )
     versions = F.filter(
         F.array(F.when(had, old), F.when(~missing & (~had | differs), new)), lambda v: v.isNotNull()
     )
-    after = both.select(F.explode(versions).alias("v")).select("v.*")
-    return closed.unionByName(after)
+    return both.select(F.explode(versions).alias("v")).select("v.*")

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import rolling as R
 from ..operators import quality as Q
 from ..operators.asof import asof_strict, asof_with_fallback
-from ..operators.merge import merge_upsert, with_buffer
+from ..operators.merge import Table, merge_upsert, with_buffer
 from ..operators.versioning import delisted, diff, empty_dimension, ohlcv_hash, scd2, supersede, symbol_hash
 from ..sources import calendar, market, seed
-from ..sources.storage import shared_path
+from ..sources.storage import shared_path, written
 from ..streaming.ingest import ingest_available
 from . import models
 from .checks import checks
@@ -24,7 +24,7 @@ from .registry import Model, Project
 #: Today, for the registered data tests: so that some rows lie after it.
 AS_OF = dt.date(2001, 7, 1)
 
-_TABLES = {"dim_sectors", "dim_indices", "int_drawdown", "int_market_returns", "int_sector_returns"}
+_TABLES = {"dim_date", "dim_sectors", "dim_indices", "int_drawdown", "int_market_returns", "int_sector_returns"}
 _INCREMENTAL = {
     "int_ohlcv_pit": ("symbol", "date"),
     "int_technical_indicators": ("symbol", "date"),
@@ -33,9 +33,28 @@ _INCREMENTAL = {
     "fact_cross_sectional_rankings": ("ticker_key", "date"),
     "fact_technical_indicators": ("symbol", "date"),
 }
-MODEL_NAMES = [
+#: Models without a date, and those whose date column has another name (SNK-12).
+_UNDATED = {"dim_tickers", "dim_date", "dim_sectors", "dim_indices", "stg_symbols"}
+_BY = {n: "snapshot_date" for n in ("stg_sectors", "stg_screener", "stg_index_constituents", "fact_index_membership", "int_index_constituents_pit")}
+MODEL_NAMES = ["dim_tickers", "dim_date"] + [
     n for n in vars(models) if n.startswith(("stg_", "dim_", "int_", "fact_"))
 ]
+#: What a query of a model reads in several branches: written once before.
+STAGED = {
+    "int_ticker_relationships": ("dim_tickers", "int_ohlcv_pit", "int_index_constituents_pit"),
+    "int_sector_correlation": ("dim_tickers", "int_sector_returns"),
+    "fact_sector_rotation": ("dim_tickers", "int_index_constituents_pit"),
+    "fact_cross_sectional_rankings": ("dim_tickers", "int_index_constituents_pit"),
+    "int_sector_returns": ("dim_tickers",),
+}
+#: Data tests that the star schema's made-up values break, as account balances stand for capitalisations.
+ONLY_WARN = frozenset(
+    (m, t)
+    for m, t in (
+        ("fact_index_membership", "range_market_cap_m"),
+        ("int_index_constituents_pit", "range_market_cap_m"),
+    )
+)
 
 
 def dim_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,21 +66,57 @@ def dim_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim
 
 
-def project(spark: SparkSession, sf_dir: str) -> Project:
-    """The warehouse over the tables of a folder."""
+def project(
+    spark: SparkSession, sf_dir: str, staged: tuple[str, ...] = (), today: dt.date = AS_OF, index: str = market.INDEX
+) -> Project:
+    """The warehouse over the tables of a folder; ``index`` names the market's index (FLT-2)."""
     sources = {n: (lambda f=getattr(market, n): f(spark, sf_dir)) for n in ("stock_history", "index_constituents", "sectors", "screener", "index_prices")}
     sources["symbols"] = lambda: market.raw_symbols(spark, sf_dir, 3)
-    sources["dim_tickers"] = lambda: dim_tickers(spark, sf_dir)
+    return warehouse(spark, sources, lambda: dim_tickers(spark, sf_dir), staged, today, index, only_warn=ONLY_WARN)
+
+
+def warehouse(
+    spark: SparkSession,
+    sources: dict[str, Callable[[], DataFrame]],
+    first_dimension: Callable[[], DataFrame] | None = None,
+    staged: tuple[str, ...] = (),
+    today: dt.date = AS_OF,
+    index: str = market.INDEX,
+    calendar_from: str = "1990-01-01",
+    only_warn: frozenset = frozenset(),
+) -> Project:
+    """All models over raw tables by name.
+
+    The dimension of tickers begins as ``first_dimension`` gives it, or empty, and every build takes a
+    snapshot of the current attributes at ``today``.
+    """
+
+    def snapshot(ref, before):
+        if before is None and first_dimension is not None:
+            return first_dimension()
+        source = ref("stg_symbols")
+        return scd2(empty_dimension(spark, source) if before is None else before, source, today)
+
     tests: dict[str, list] = {}
-    for check in checks():
+    for check in checks(today):
         tests.setdefault(check.model, []).append(check.test)
     built = []
     for name in MODEL_NAMES:
-        kind = "table" if name in _TABLES or name.startswith("fact_") else "view"
+        build = getattr(models, name, None)
+        if name == "dim_tickers":
+            kind, build = "snapshot", snapshot
+        elif name == "dim_date":
+            kind, build = "table", lambda ref: calendar.dim_date(spark, calendar_from)
+        else:
+            kind = "table" if name in _TABLES or name.startswith("fact_") else "view"
         if name in _INCREMENTAL:
             kind = "incremental"
-        built.append(Model(name, getattr(models, name), kind, _INCREMENTAL.get(name, ()), tuple(tests.get(name, ()))))
-    return Project(built, sources)
+        if name in models.OF_INDEX:
+            build = lambda ref, f=build: f(ref, index)
+        by = None if name in _UNDATED else _BY.get(name, "date")
+        cluster = ("symbol", "ticker_key", "sector_code", "sector_code_a")
+        built.append(Model(name, build, kind, _INCREMENTAL.get(name, ()), tuple(tests.get(name, ())), by, cluster))
+    return Project(built, sources, staged, written, only_warn)
 
 
 # -- queries whose columns read alike in both engines --------------------------------------------
@@ -78,7 +133,7 @@ SELECTS: dict[str, tuple[str, list[str]]] = {
     "stg_screener": ("screener", ["symbol", "sector as sector_code_raw", "listed_in", "market_cap", "price", "pe_ratio", "snapshot_date"]),
     "stg_sectors": ("sectors", ["sector_code", "sector_name", "advance", "decline", "unchanged", "turnover", "market_cap_b", "snapshot_date"]),
     "stg_index_constituents": ("index_constituents", ["index_name", "symbol", "snapshot_date", "current_index", "idx_weight", "idx_point", "market_cap_m", "freefloat_m", "shares_m"]),
-    "dim_tickers_scd2": ("dim_tickers", ["symbol", "name", "sector_code", "is_etf", "is_debt", "is_gem", "is_margin_eligible", "scd_id", "valid_from", "valid_to"]),
+    "dim_tickers_scd2": ("dim_tickers", ["symbol", "name", "sector_code", "is_etf", "is_debt", "is_gem", "is_margin_eligible", "scd_id", "updated_at", "valid_from", "valid_to"]),
     "fact_ohlcv": ("fact_ohlcv", [*_KEY, "open", "high", "low", "close", "volume", "is_anomaly", "is_ticker_attrs_assumed"]),
     "fact_restatement_history": ("fact_restatement_history", [*_KEY, "restatement_count", "first_loaded_at", "last_loaded_at", "is_ticker_attrs_assumed"]),
     "fact_index_membership": ("fact_index_membership", ["index_name", "symbol", "snapshot_date", "ticker_key", "current_index", "idx_weight", "idx_point", "market_cap_m", "freefloat_m", "shares_m"]),
@@ -114,7 +169,7 @@ SELECTS: dict[str, tuple[str, list[str]]] = {
 
 def _select(name: str) -> Callable[[SparkSession, str], DataFrame]:
     model, columns = SELECTS[name]
-    return lambda spark, sf_dir: project(spark, sf_dir).ref(model).selectExpr(*columns)
+    return lambda spark, sf_dir: project(spark, sf_dir, STAGED.get(model, ())).ref(model).selectExpr(*columns)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _select(n) for n in SELECTS}
@@ -334,8 +389,8 @@ def _stream(spark, sf_dir):
             F.col("n_name").alias("symbol"), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("close"), F.col("o_orderkey").alias("k")
         )
 
-    path = shared_path(spark, "prices")
-    done = ingest_available(spark, sf_dir, "orders.parquet", orders.schema, shape, path, ["symbol", "date"], "k")
+    table = Table(spark, shared_path(spark, "prices"), "date", ("symbol",))
+    done = ingest_available(spark, sf_dir, "orders.parquet", orders.schema, shape, table, ["symbol", "date"], "k")
     return done.select("symbol", "date", "close")
 
 
@@ -371,7 +426,7 @@ def _event_bars(spark, sf_dir):
 def _count(name: str, find, sql: str) -> None:
     @register(name, f"select count(*) as violations from ({sql})")
     def run(spark, sf_dir):
-        return find(project(spark, sf_dir).ref).agg(F.count("*").alias("violations"))
+        return find(project(spark, sf_dir, ("dim_tickers",)).ref).agg(F.count("*").alias("violations"))
 
 
 _count("dq_not_null", lambda ref: Q.not_null(ref("stg_screener"), "pe_ratio"), "select 1 from screener where pe_ratio is null")

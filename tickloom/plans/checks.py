@@ -17,6 +17,8 @@ TODAY = dt.date(2001, 12, 31)
 
 @dataclass(frozen=True)
 class Check:
+    """A test of a model; ``sql`` gives its violations in DuckDB, for those that are registered queries."""
+
     model: str
     test: Q.Test
     sql: str | None = None
@@ -95,14 +97,14 @@ def against_close(val: DataFrame, ref) -> DataFrame:
 
 
 def _dup_sql(table: str, keys: str, values: list[str]) -> str:
-    counts = " or ".join(f"count(distinct coalesce(cast({v} as varchar), '~null~')) > 1" for v in values)
+    counts = " or ".join(f"count(distinct {v}) + cast(count({v}) < count(*) as int) > 1" for v in values)
     return f"select {keys} from {table} group by {keys} having count(*) > 1 and ({counts})"
 
 
 _CONSTITUENT = ["current_index", "idx_weight", "idx_point", "market_cap_m", "freefloat_m", "shares_m"]
 _SCREEN = ["sector_code_raw", "listed_in", "market_cap", "price", "pe_ratio", "dividend_yield", "free_float", "volume_avg_30d", "change_1y_pct"]
 _SECTOR = ["advance", "decline", "unchanged", "turnover", "market_cap_b"]
-_ORDER = "not is_anomaly and not (high >= low and high >= open and high >= close and low <= open and low <= close)"
+_ORDER = "not (high >= low and high >= open and high >= close and low <= open and low <= close)"
 _WRONG = """select 1 from {0} f join dim_tickers t on f.ticker_key = t.scd_id where f.is_ticker_attrs_assumed = false
     and not (f.date >= t.valid_from and (t.valid_to is null or f.date < t.valid_to))"""
 _BOTH = "from int_ohlcv_pit p join fact_ohlcv f using (symbol, date) join versions v using (symbol, date)"
@@ -129,7 +131,8 @@ def checks(today: dt.date = TODAY) -> list[Check]:
                """select 1 from fact_cross_sectional_rankings r join (select snapshot_date as date, count(distinct ticker_key) as n
                   from int_index_constituents_pit where index_name = 'IDX100' group by 1) u using (date) where r.momentum_63d_rank > u.n"""),
         not_future("t06", "fact_index_membership", "snapshot_date"),
-        _check("fact_ohlcv", "t07_high_low", lambda df, ref: df.filter(f"coalesce(is_anomaly, false) = false and {_ORDER}"), f"select 1 from fact_ohlcv where {_ORDER}"),
+        _check("fact_ohlcv", "t07_high_low", lambda df, ref: df.filter(f"coalesce(is_anomaly, false) = false and {_ORDER}"),
+               f"select 1 from fact_ohlcv where is_anomaly is distinct from true and {_ORDER}"),
         not_future("t08", "fact_ohlcv"),
         _check("fact_ohlcv", "t09_assumed_correct", lambda df, ref: assumed_wrongly(df, ref("dim_tickers")), _WRONG.format("fact_ohlcv")),
         _check("fact_ohlcv", "t10_assumed_prevalence", lambda df, ref: df.filter("is_ticker_attrs_assumed"), "select 1 from fact_ohlcv where is_ticker_attrs_assumed", "warn"),
@@ -170,26 +173,85 @@ def checks(today: dt.date = TODAY) -> list[Check]:
                _dup_sql("screener", "symbol, snapshot_date", ["sector", *_SCREEN[1:]]), "warn"),
         _check("stg_sectors", "t31_duplicates", lambda df, ref: Q.duplicates_differ(df, ["sector_code", "snapshot_date"], _SECTOR),
                _dup_sql("sectors", "sector_code, snapshot_date", _SECTOR), "warn"),
-        # generic tests of the models' grains and ranges; they run with the project
-        *[_check(m, f"unique_{'_'.join(k)}", lambda df, ref, k=k: Q.unique_combination(df, k), None) for m, k in (
-            ("fact_ohlcv", ["symbol", "date"]), ("fact_restatement_history", ["symbol", "date"]),
-            ("fact_index_membership", ["index_name", "symbol", "snapshot_date"]), ("fact_sector_daily", ["sector_code", "date"]),
-            ("fact_valuation_daily", ["symbol", "date"]), ("fact_technical_indicators", ["symbol", "date"]),
-            ("fact_ticker_relationships", ["symbol", "date"]), ("fact_sector_correlation", ["sector_code_a", "sector_code_b", "date"]),
-            ("fact_sector_rotation", ["sector_code", "date"]), ("fact_cross_sectional_rankings", ["ticker_key", "date"]),
-            ("int_ohlcv_pit", ["symbol", "date"]), ("int_technical_indicators", ["symbol", "date"]), ("int_drawdown", ["symbol", "date"]),
-            ("int_market_returns", ["date"]), ("int_sector_returns", ["sector_code", "date"]), ("dim_sectors", ["sector_code"]), ("dim_indices", ["index_name"]))],
-        *[_check(m, f"not_null_{c}", lambda df, ref, c=c: Q.not_null(df, c), None) for m, c in (
-            ("stg_stock_history", "history_id"), ("stg_stock_history", "symbol"), ("stg_stock_history", "date"), ("fact_ohlcv", "symbol"),
-            ("int_ohlcv_pit", "ticker_key"), ("fact_cross_sectional_rankings", "ticker_key"), ("dim_sectors", "sector_code"))],
-        *[_check(m, f"relationship_{c}", lambda df, ref, c=c: Q.relationships(df, c, ref("dim_tickers"), "scd_id"), None) for m, c in (
-            ("fact_ohlcv", "ticker_key"), ("fact_restatement_history", "ticker_key"), ("fact_index_membership", "ticker_key"),
-            ("fact_valuation_daily", "ticker_key"), ("fact_ticker_relationships", "ticker_key"), ("fact_cross_sectional_rankings", "ticker_key"))],
-        *[_check(m, f"range_{c}", lambda df, ref, c=c, a=a, b=b: Q.accepted_range(df, c, a, b), None, s) for m, c, a, b, s in (
-            ("int_technical_indicators", "rsi_14", 0, 100, "error"), ("int_drawdown", "max_drawdown_pct", None, 0.0001, "error"),
-            ("int_ticker_relationships", "beta_full_252d", -10, 10, "warn"), ("int_ticker_relationships", "corr_vs_index_252d", -1, 1, "error"),
-            ("int_sector_correlation", "correlation_252d", -1, 1, "error"), ("fact_cross_sectional_rankings", "momentum_63d_quintile", 1, 5, "error"),
-            ("fact_sector_rotation", "rotation_quintile", 1, 5, "error"))],
-        _check("fact_technical_indicators", "accepted_ma_crossover_event",
-               lambda df, ref: Q.accepted_values(df, "ma_crossover_event", ["golden_cross", "death_cross"]), None),
+        *_generic(),
     ]
+
+
+def _generic() -> list[Check]:
+    """DQ-1..6: generic tests of the models' columns and grains; they run with the project."""
+    out: list[Check] = []
+
+    def of(
+        model: str, required: str = "", grain: str = "", from_0: str = "", ticker: str = "", day: str = "",
+        parents: dict | None = None, ranges: dict | None = None, values: dict | None = None, unique: str = "", warn: str = "",
+    ) -> None:
+        """``warn`` names tests that report only; ``ranges`` and ``values`` are by column."""
+
+        def add(name: str, find=None, where=None) -> None:
+            out.append(Check(model, Q.Test(name, find, "warn" if name in warn.split() else "error", where)))
+
+        for c in required.split():
+            add(f"not_null_{c}", where=lambda c=c: Q.is_missing(c))
+        for c in unique.split():
+            add(f"unique_{c}", lambda df, ref, c=c: Q.unique(df, c))
+        if grain:
+            add(f"unique_{grain.replace(' ', '_')}", lambda df, ref: Q.unique_combination(df, grain.split()))
+        for c, (least, most) in {**{c: (0, None) for c in from_0.split()}, **(ranges or {})}.items():
+            add(f"range_{c}", where=lambda c=c, a=least, b=most: Q.is_beyond(c, a, b))
+        for c, of_ in (values or {}).items():
+            add(f"accepted_{c}", where=lambda c=c, v=of_: Q.is_other_than(c, v))
+        to = {**({ticker: ("dim_tickers", "scd_id")} if ticker else {}), **({day: ("dim_date", "date")} if day else {}), **(parents or {})}
+        for c, (parent, key) in to.items():
+            add(f"relationship_{c}", lambda df, ref, c=c, p=parent, k=key: Q.relationships(df, c, ref(p), k))
+
+    bars = "open high low close volume"
+    index = {"index_name": ("dim_indices", "index_name")}
+    sector = {"sector_code": ("dim_sectors", "sector_code")}
+    pair = {"sector_code_a": sector["sector_code"], "sector_code_b": sector["sector_code"]}
+    betas = {f"beta_{k}_252d": (-10, 10) for k in ("full", "upside", "downside")}
+    corrs = {f"corr_vs_{k}_252d": (-1, 1) for k in ("index", "sector")}
+    fifths = [1, 2, 3, 4, 5]
+    holding = "idx_weight market_cap_m freefloat_m shares_m current_index"
+
+    of("stg_stock_history", "history_id symbol date", unique="history_id")
+    of("stg_index_constituents", "symbol index_name snapshot_date")
+    of("stg_sectors", "sector_code snapshot_date")
+    of("stg_screener", "symbol snapshot_date")
+    of("stg_index_price_history", "index_name date", "index_name date")
+    of("stg_symbols", "symbol sector_code", warn="not_null_sector_code")
+    of("dim_tickers", "sector_code", "symbol valid_from", unique="scd_id", parents=sector, warn="not_null_sector_code")
+    of("dim_date", "date", unique="date")
+    of("dim_sectors", "sector_code", unique="sector_code")
+    of("dim_indices", "index_name", unique="index_name")
+    of("int_drawdown", "symbol date", "symbol date", ranges={"max_drawdown_pct": (None, 0.0001)})
+    of("int_index_constituents_pit", "index_name ticker_key snapshot_date", "index_name symbol snapshot_date", holding,
+       "ticker_key", "snapshot_date", index, warn="not_null_ticker_key")
+    of("int_market_returns", "date current_index", "date", "current_index", day="date")
+    of("int_ohlcv_pit", "ticker_key date is_ticker_attrs_assumed", "symbol date", f"{bars} rolling_vol_200", "ticker_key", "date")
+    of("int_screener_pit", "ticker_key date", "symbol date", "market_cap price", "ticker_key", "date",
+       ranges={"pe_ratio": (-1000, 1000)}, warn="not_null_ticker_key range_pe_ratio")
+    of("int_sector_correlation", "sector_code_a sector_code_b date", "sector_code_a sector_code_b date", day="date", parents=pair,
+       ranges={"correlation_252d": (-1, 1)})
+    of("int_sector_returns", "sector_code date", "sector_code date", day="date", parents=sector)
+    of("int_technical_indicators", "symbol date", "symbol date", "rolling_vol_20 rolling_vol_50 rolling_vol_200", ranges={"rsi_14": (0, 100)})
+    for name in ("int_ticker_relationships", "fact_ticker_relationships"):
+        of(name, "ticker_key symbol date", "ticker_key date", "", "ticker_key", "date", ranges=betas | corrs,
+           warn=" ".join(f"range_{c}" for c in betas))
+    of("fact_ohlcv", "ticker_key date is_ticker_attrs_assumed", "symbol date", bars, "ticker_key", "date")
+    of("fact_restatement_history", "ticker_key date restatement_count is_ticker_attrs_assumed", "symbol date", "", "ticker_key", "date",
+       ranges={"restatement_count": (1, None)})
+    of("fact_index_membership", "index_name ticker_key snapshot_date", "index_name symbol snapshot_date", holding,
+       "ticker_key", "snapshot_date", index, warn="not_null_ticker_key")
+    of("fact_index_ohlcv", "index_name date", "index_name date", bars, day="date", parents=index)
+    of("fact_sector_daily", "sector_code date", "sector_code date", "advance decline unchanged turnover market_cap_b", day="date", parents=sector)
+    of("fact_valuation_daily", "ticker_key date", "symbol date", "market_cap price", "ticker_key", "date",
+       ranges={"pe_ratio": (-1000, 1000), "dividend_yield": (0, 100), "free_float": (0, 100)},
+       warn="not_null_ticker_key range_pe_ratio range_dividend_yield range_free_float")
+    of("fact_cross_sectional_rankings", "ticker_key date", "ticker_key date", "", "ticker_key", "date",
+       values={f"{c}_quintile": fifths for c in ("momentum_63d", "relative_strength_63d", "pe_ratio", "low_vol")})
+    of("fact_sector_correlation", "sector_code_a sector_code_b date", "sector_code_a sector_code_b date", day="date", parents=pair,
+       ranges={"correlation_252d": (-1, 1)})
+    of("fact_sector_rotation", "sector_code date", "sector_code date", day="date", parents=sector, values={"rotation_quintile": fifths})
+    of("fact_technical_indicators", "ticker_key symbol date max_drawdown_pct", "symbol date", "", "ticker_key", "date",
+       values={"ma_crossover_event": ["golden_cross", "death_cross"]})
+    return out

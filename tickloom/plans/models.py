@@ -17,6 +17,8 @@ from ..sources.market import INDEX
 PRICE = ["symbol", "date", "open", "high", "low", "close", "volume", "is_anomaly"]
 YEAR = 252
 QUARTER = 63
+#: Models that read one index, the last parameter of their functions.
+OF_INDEX = ("int_market_returns", "int_sector_returns", "fact_cross_sectional_rankings")
 
 
 # -- staging -----------------------------------------------------------------------------------
@@ -152,7 +154,8 @@ def int_technical_indicators(ref) -> DataFrame:
     w = R.ordered("symbol")
     n = lambda k: R.last_rows(k, "symbol")
     close, r = F.col("close"), F.col("daily_return_pct")
-    base = ref("stg_stock_history").filter("is_latest").select("symbol", "date", "close")
+    # dealt by symbol once, for all windows and the pass over the series
+    base = ref("stg_stock_history").filter("is_latest").select("symbol", "date", "close").repartition("symbol")
     before = F.lag("close").over(w)
     base = base.select(
         "*",
@@ -175,7 +178,7 @@ def int_technical_indicators(ref) -> DataFrame:
         R.change(close, w, 5).alias("trailing_return_5d"),
         R.change(close, w, YEAR).alias("trailing_return_252d"),
     )
-    return R.macd(flat)
+    return R.macd(flat, dealt=True)
 
 
 def int_drawdown(ref) -> DataFrame:
@@ -198,9 +201,9 @@ def fact_technical_indicators(ref) -> DataFrame:
 # -- market and sectors ------------------------------------------------------------------------
 
 
-def int_market_returns(ref) -> DataFrame:
+def int_market_returns(ref, index: str = INDEX) -> DataFrame:
     """FV-2, FLT-2, FLT-3, LAG-2, LAG-4. One row for each day is left before the unpartitioned window."""
-    rows = ref("int_index_constituents_pit").filter(F.col("index_name") == INDEX).filter("current_index is not null")
+    rows = ref("int_index_constituents_pit").filter(F.col("index_name") == index).filter("current_index is not null")
     level = rows.groupBy(F.col("snapshot_date").alias("date")).agg(F.min_by("current_index", "symbol").alias("current_index"))
     w = Window.orderBy("date")
     x = F.col("current_index")
@@ -213,12 +216,12 @@ def _sector_codes(ref) -> DataFrame:
     return ref("dim_tickers").select(F.col("scd_id").alias("ticker_key"), "sector_code")
 
 
-def int_sector_returns(ref) -> DataFrame:
+def int_sector_returns(ref, index: str = INDEX) -> DataFrame:
     """JN-4, JN-5, LAG-5, AGG-2, WAG-11: returns weighted by the capitalisation of the day before."""
     returns = ref("int_ohlcv_pit").join(_sector_codes(ref), "ticker_key").select(
         "ticker_key", "date", "daily_return_pct", "sector_code"
     )
-    caps = ref("int_index_constituents_pit").filter(F.col("index_name") == INDEX).select(
+    caps = ref("int_index_constituents_pit").filter(F.col("index_name") == index).select(
         "ticker_key",
         F.col("snapshot_date").alias("date"),
         F.lag("market_cap_m").over(R.ordered("ticker_key", order="snapshot_date")).alias("cap"),
@@ -245,18 +248,20 @@ def int_ticker_relationships(ref) -> DataFrame:
 def relationships(rows: DataFrame, n: int = YEAR, least: int | None = None) -> DataFrame:
     """Beta and correlation of r to m (and s) over n rows of a symbol, given ``least`` values."""
     least = n if least is None else least
-    w = R.last_rows(n, "symbol")
-    x, m, s = F.col("r"), F.col("m"), F.col("s")
-    return rows.select(
-        "ticker_key",
-        "symbol",
-        "date",
-        R.beta(x, m, w, least).alias("beta_full_252d"),
-        R.beta(x, m, w, least, m >= 0).alias("beta_upside_252d"),
-        R.beta(x, m, w, least, m < 0).alias("beta_downside_252d"),
-        R.correlation(x, m, w, least).alias("corr_vs_index_252d"),
-        R.correlation(x, s, w, least).alias("corr_vs_sector_252d"),
-    )
+
+    def make(v):
+        r, m, s = v["r"], v["m"], v["s"]
+        return {
+            "beta_full_252d": R.beta(r, m, n, least),
+            "beta_upside_252d": R.beta(r, m, n, least, m >= 0),
+            "beta_downside_252d": R.beta(r, m, n, least, m < 0),
+            "corr_vs_index_252d": R.correlation(r, m, n, least),
+            "corr_vs_sector_252d": R.correlation(r, s, n, least),
+        }
+
+    new = ["beta_full_252d", "beta_upside_252d", "beta_downside_252d", "corr_vs_index_252d", "corr_vs_sector_252d"]
+    rows = rows.select("ticker_key", "symbol", "date", "r", "m", "s")
+    return R.with_series(rows, ["symbol"], "date", n - 1, make, new).drop("r", "m", "s")
 
 
 def int_sector_correlation(ref) -> DataFrame:
@@ -265,10 +270,13 @@ def int_sector_correlation(ref) -> DataFrame:
     a = s.select(F.col("sector_code").alias("sector_code_a"), "date", F.col("daily_return_pct").alias("a"))
     b = s.select(F.col("sector_code").alias("sector_code_b"), "date", F.col("daily_return_pct").alias("b"))
     pairs = a.join(b, "date").filter(F.col("sector_code_a") < F.col("sector_code_b"))
-    w = R.last_rows(YEAR, "sector_code_a", "sector_code_b")
-    return pairs.select(
-        "sector_code_a", "sector_code_b", "date", R.correlation(F.col("a"), F.col("b"), w).alias("correlation_252d")
-    )
+    pairs = pairs.select("sector_code_a", "sector_code_b", "date", "a", "b")
+
+    def make(v):
+        return {"correlation_252d": R.correlation(v["a"], v["b"], YEAR)}
+
+    keys = ["sector_code_a", "sector_code_b"]
+    return R.with_series(pairs, keys, "date", YEAR - 1, make, ["correlation_252d"]).drop("a", "b")
 
 
 def fact_sector_rotation(ref) -> DataFrame:
@@ -284,9 +292,9 @@ def fact_sector_rotation(ref) -> DataFrame:
     return rows.select("*", rank.alias("rotation_rank"), quintile.alias("rotation_quintile"))
 
 
-def fact_cross_sectional_rankings(ref) -> DataFrame:
+def fact_cross_sectional_rankings(ref, index: str = INDEX) -> DataFrame:
     """JN-9, FLT-7, WIN-1..4"""
-    universe = ref("int_index_constituents_pit").filter(F.col("index_name") == INDEX).filter("ticker_key is not null")
+    universe = ref("int_index_constituents_pit").filter(F.col("index_name") == index).filter("ticker_key is not null")
     universe = universe.select("ticker_key", F.col("snapshot_date").alias("date")).distinct()
     price = ref("int_ohlcv_pit").select("ticker_key", "date", F.col("trailing_return_63d").alias("momentum_63d"), "rolling_vol_200")
     market = ref("int_market_returns").select("date", F.col("trailing_return_63d").alias("_m"))

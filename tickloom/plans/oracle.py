@@ -77,7 +77,7 @@ CTES: dict[str, str] = {
         from nation, (values (1, date '1996-01-01'), (2, date '1998-01-01'), (3, date '2000-01-01')) v(s, eff)
         where not (n_nationkey % 10 = 9 and s = 3)""",
     "dim_tickers": """select v.symbol, name, sector_code, is_etf, is_debt, is_gem, is_margin_eligible,
-        md5(v.symbol || '|' || cast(eff as varchar)) as scd_id, eff as valid_from,
+        md5(v.symbol || '|' || cast(eff as varchar)) as scd_id, eff as updated_at, eff as valid_from,
         coalesce(lead(eff) over (partition by v.symbol order by eff), g.gone) as valid_to
         from (select *, lag(name) over u as pn, lag(is_etf) over u as pe, lag(s) over u as ps from ticker_states
               window u as (partition by symbol order by s)) v

@@ -13,9 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import current_version, read_merged
-from ..operators.versioning import ingest, ohlcv_hash, symbol_hash
+from ..operators.merge import Table
+from ..operators.versioning import changes, ohlcv_hash, supersede, symbol_hash, versions_of
 from ..schemas import RAW, conform
+from .storage import written
 
 
 class IngestFailed(Exception):
@@ -46,42 +47,48 @@ def with_eligibility(symbols: DataFrame, eligible: DataFrame | None) -> DataFram
 
 
 class ParquetStore:
-    """The raw tables as Parquet folders; versioned tables get a new version by a pointer."""
+    """The raw tables as Parquet files by month; a load adds files, a closed version rewrites its month."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def table(self, name: str) -> Table:
+        by = next((c for c in ("date", "snapshot_date") if c in RAW[name].names), None)
+        return Table(self.spark, f"{self.path}/{name}", by, ("symbol",))
+
     def ensure(self) -> None:
         """SNK-1: every table exists, empty at first."""
         for name, schema in RAW.items():
-            if not current_version(self.spark, f"{self.path}/{name}"):
-                self._put(name, self.spark.createDataFrame([], schema))
+            if not self.table(name).version():
+                self.table(name).replace(self.spark.createDataFrame([], schema))
 
     def read(self, name: str) -> DataFrame:
         """SRC-1, SRC-12: a table that does not exist reads as empty."""
-        if not current_version(self.spark, f"{self.path}/{name}"):
-            return self.spark.createDataFrame([], RAW[name])
-        return read_merged(self.spark, f"{self.path}/{name}")
-
-    def latest_hashes(self, name: str, keys: list[str]) -> DataFrame:
-        """SRC-10, SRC-11"""
-        return self.read(name).filter("is_latest").select(*keys, "row_hash")
-
-    def _put(self, name: str, df: DataFrame) -> None:
-        path = f"{self.path}/{name}"
-        version = current_version(self.spark, path) + 1
-        df.write.mode("overwrite").parquet(f"{path}/v{version}")
-        jvm = self.spark._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{path}/_CURRENT.{version}")
-        done.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(done).close()
+        table = self.table(name)
+        return table.read() if table.version() else self.spark.createDataFrame([], RAW[name])
+
+    def latest_hashes(self, name: str, keys: list[str], symbol: str | None = None) -> DataFrame:
+        """SRC-10 (of one symbol), SRC-11"""
+        rows = self.read(name).filter("is_latest")
+        return (rows if symbol is None else rows.filter(F.col("symbol") == symbol)).select(*keys, "row_hash")
 
     def append(self, name: str, rows: DataFrame) -> None:
         """SNK-6..8: snapshots are added as they come; rows loaded twice are there twice."""
-        self._put(name, self.read(name).unionByName(conform(rows, RAW[name])))
+        self.table(name).append(conform(rows, RAW[name]))
 
     def ingest(self, name: str, rows: DataFrame, keys: list[str], id_column: str, now: Column, delist: bool) -> None:
-        """SNK-2..5"""
-        self._put(name, ingest(self.read(name), rows, keys, id_column, now, delist))
+        """SNK-2..5: new versions are added as files; only months with a closed version are rewritten.
+
+        Both are one version of the table, so no crash can leave two latest rows of a key.
+        """
+        table, schema = self.table(name), RAW[name]
+        known = table.read(None if delist else table.parts_in(rows))
+        found, gone = changes(known.filter("is_latest").select(*keys, "row_hash"), rows, keys, delist)
+        found = written("found", found)  # the months and the new rows come from one comparison
+        gone = gone(found)
+        touched = table.parts_in(gone) if table.by else (["all"] if not gone.isEmpty() else [])
+        closed = {"rows": supersede(table.read(touched), gone, keys, now, now)} if touched else None
+        table.change(closed, conform(versions_of(found, id_column, now), schema), touched)
 
 
 #: SNK-13: stores by name.
@@ -151,8 +158,17 @@ def run_ingest(store, feed, indices: list[str], now: dt.datetime) -> RunReport:
     optional("screener", lambda: snapshot("screener", feed.screener()))
 
     required = ["symbol", "date", "open", "high", "low", "close", "volume", "is_anomaly"]
-    prices = feed.prices(eligible_symbols(members)).select(*required).dropna()
-    report.valid_prices = prices.count()
+    parts = []
+    for name, fetched in feed.prices(eligible_symbols(members)):
+        try:  # a ticker whose fetch fails, or whose rows are malformed, is left out
+            rows = fetched()
+            if rows is None or rows.isEmpty():
+                raise ValueError("no history")
+            parts.append(rows.withColumn("symbol", F.lit(name)).select(*required) if name is not None else rows.select(*required))
+        except Exception as problem:
+            report.skipped.append(f"prices of {name}: {problem}")
+    prices = reduce(DataFrame.unionByName, parts).dropna() if parts else None
+    report.valid_prices = prices.count() if parts else 0
     if not report.valid_prices:
         raise IngestFailed("no price row")
     store.ingest(

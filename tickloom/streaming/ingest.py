@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import current_version, read_merged, write_merged
+from ..operators.merge import Table
 
 
 def newest(df: DataFrame, keys: list[str], version: str) -> DataFrame:
@@ -22,13 +22,13 @@ def newest(df: DataFrame, keys: list[str], version: str) -> DataFrame:
     return df.groupBy(*keys).agg(picked).select(*keys, "_v.*")
 
 
-def merge_batch(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], version: str) -> None:
-    """Upsert the versions that are newer than the table's."""
+def merge_batch(table: Table, batch: DataFrame, keys: list[str], version: str) -> None:
+    """Upsert the versions that are newer than the table's; only the batch's partitions are touched."""
     fresh = newest(batch, keys, version)
-    if current_version(spark, path):
-        old = read_merged(spark, path).select(*keys, F.col(version).alias("_old"))
+    if table.version():
+        old = table.read(table.parts_in(fresh)).select(*keys, F.col(version).alias("_old"))
         fresh = fresh.join(old, keys, "left").filter(F.col("_old").isNull() | (F.col(version) > F.col("_old"))).drop("_old")
-    write_merged(spark, path, fresh, keys)
+    table.merge(fresh, keys)
 
 
 def ingest_available(
@@ -37,17 +37,17 @@ def ingest_available(
     glob: str,
     schema,
     shape: Callable[[DataFrame], DataFrame],
-    path: str,
+    table: Table,
     keys: list[str],
     version: str,
 ) -> DataFrame:
     """Read all files that have arrived, in micro-batches, shape and merge them; the table after that."""
     stream = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", 8).parquet(folder)
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _: merge_batch(batch.sparkSession, path, shape(batch), keys, version))
-        .option("checkpointLocation", f"{path}/_offsets")
+        stream.writeStream.foreachBatch(lambda batch, _: merge_batch(table, shape(batch), keys, version))
+        .option("checkpointLocation", f"{table.path}/_offsets")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return read_merged(spark, path)
+    return table.read()
