@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import decontamination, line_dedup, simhash_dedup, toxicity, transducer_bpe
-from tickloom.llm.common import materialise, table
+from tickloom.llm.common import materialised, remove_path, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; what a stage has written goes when the next one has."""
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        before = path
+        docs, path = materialised(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            remove_path(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
