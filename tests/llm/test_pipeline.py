@@ -6,6 +6,7 @@ import corpus_pipeline as P
 from tests.llm import test_decontamination, test_line_dedup, test_simhash_dedup
 from tests.llm.helpers import SF, collected, docs, parquet
 from tickloom.llm import toxicity
+from tickloom.llm.common import materialise
 
 
 def brute(spark):
@@ -16,7 +17,7 @@ def brute(spark):
     yield rows
     rows = [(i, k) for i, _, _, k in test_line_dedup.brute(rows)]
     yield rows
-    rows.sort()
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
     groups = test_simhash_dedup.brute_groups([test_simhash_dedup.brute_fingerprint(t) for _, t in rows])
     rows = [r for k, r in enumerate(rows) if groups[k] == k]
     yield rows
@@ -29,7 +30,7 @@ def test_stages_match_plain_versions(spark):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     columns = frame.columns
     for (name, stage), want in zip(P.STAGES[:-1], brute(spark)):
-        frame = P.materialise(stage(spark, frame, SF), name)
+        frame = materialise(stage(spark, frame, SF), name)
         assert frame.columns == columns
         assert collected(frame, "doc_id", "text") == sorted(want, key=repr), name
     last = P.run(spark, SF)
@@ -45,12 +46,34 @@ def test_stages_match_plain_versions(spark):
         assert r["ids_sha256"] == sha(" ".join(map(str, ids[r["doc_id"]])))
 
 
+def test_settings_are_put_back(spark):
+    """Text queries read in small batches; a query of the warehouse finds the session as it was."""
+    import __spark_entry__ as entry
+    from tickloom.llm.common import BATCHES
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    entry.queries()["dim_date"](spark, SF)
+    before = spark.conf.get(key)
+    entry.queries()["op9_url_filter"](spark, SF)
+    assert spark.conf.get(key) == BATCHES[key] != before
+    entry.queries()["dim_date"](spark, SF)
+    assert spark.conf.get(key) == before
+
+
+def test_unlike_texts_that_share_an_id_pass_all_stages(spark):
+    rows = [(1, "the first text of some words here"), (2, "the first text of some words here"), (2, "quite another one that is unlike it")]
+    frame = docs(spark, rows)
+    for name, stage in P.STAGES[:-1]:
+        frame = materialise(stage(spark, frame, SF), name)
+    assert collected(frame, "doc_id", "text") == sorted([rows[0], rows[2]], key=repr)
+
+
 def test_stages_on_odd_tables(spark):
     odd = docs(spark, [(1, None), (1, None), (2, ""), (None, "x"), (3, "some clean text here")], ("n_chars", "component_id", "score"))
     for frame in (odd, odd.limit(0)):
         before = frame
         for name, stage in P.STAGES[:-1]:
-            before = P.materialise(stage(spark, before, SF), name)
+            before = materialise(stage(spark, before, SF), name)
             assert before.columns == odd.columns
         assert P.STAGES[-1][1](spark, before, SF).count() == before.count()
     assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "simhash_dedup", "decontamination", "bpe"]
