@@ -123,3 +123,28 @@ def test_a_load_leaves_the_files_of_other_months(spark, tmp_path):
 
 def test_missing_table_reads_as_empty(spark, tmp_path):
     assert store(spark, tmp_path).read("symbols").count() == 0
+
+
+def test_from_feed_to_facts(spark, tmp_path):
+    """Two runs of a feed, the seed file and the warehouse over them."""
+    from tickloom.plans import catalog
+
+    s = store(spark, tmp_path)
+    seed_csv = tmp_path / "seed.csv"
+    seed_csv.write_text("index_name,date,open,high,low,close,volume,change_pct\nI,2024-01-05,1,3,1,2,10,0.5\n")
+    row = lambda day, close: ("A", day, 1.0, 9.0, 1.0, close, 10, False)
+    first, second = dt.date(2024, 1, 5), dt.date(2024, 1, 8)
+    feeds.run_ingest(s, Feed(spark, prices=[row(first, 1.5)]), ["I"], NOW)
+    later = NOW + dt.timedelta(days=1)
+    feeds.run_ingest(s, Feed(spark, prices=[row(first, 1.75), row(second, 2.0)]), ["I"], later)
+    assert s.first_changed("stock_history", NOW) == first and s.first_changed("stock_history", later) is None
+    project = catalog.store_project(spark, s, f"file://{seed_csv}", later.date(), "I")
+    for name in [n for n in project.models if n not in ("fact_ohlcv", "stg_stock_history", "stg_symbols", "stg_sectors", "dim_tickers", "dim_date", "dim_sectors", "stg_index_price_history", "fact_index_ohlcv", "fact_restatement_history", "int_ohlcv_pit", "dim_indices", "stg_index_constituents")]:
+        del project.models[name]
+    done = project.build(spark, f"file://{tmp_path}/w")
+    table = lambda n: project.models[n].table(spark, f"file://{tmp_path}/w").read()
+    assert {(r["date"], r["close"], r["is_ticker_attrs_assumed"]) for r in table("fact_ohlcv").collect()} == {(first, 1.75, True), (second, 2.0, True)}
+    assert {(r["date"], r["close"]) for r in table("int_ohlcv_pit").collect()} == {(first, 1.5), (second, 2.0)}
+    assert {r["restatement_count"] for r in table("fact_restatement_history").collect()} == {1, 2}
+    assert table("fact_index_ohlcv").count() == 1 and table("dim_tickers").count() == 2
+    assert not done.failed - {"fact_index_ohlcv"} and done.violations["int_ohlcv_pit", "t21_equal_unless_restated"] == 0

@@ -75,6 +75,14 @@ def project(
     return warehouse(spark, sources, lambda: dim_tickers(spark, sf_dir), staged, today, index, only_warn=ONLY_WARN)
 
 
+def store_project(spark: SparkSession, store, seed_csv: str, today: dt.date, index: str = market.INDEX) -> Project:
+    """The warehouse over a store of raw tables, with the index's price history from a seed file (SRC-8)."""
+    sources = {n: (lambda n=n: store.read(n)) for n in ("stock_history", "index_constituents", "sectors", "screener")}
+    sources["symbols"] = lambda: store.read("symbols").filter("is_latest")
+    sources["index_prices"] = lambda: seed.read_seed(spark, seed_csv)
+    return warehouse(spark, sources, today=today, index=index)
+
+
 def warehouse(
     spark: SparkSession,
     sources: dict[str, Callable[[], DataFrame]],

@@ -1,7 +1,8 @@
 """Feeds and writers of the raw tables (SRC-2..7, SRC-10..12, SNK-1..8, SNK-13).
 
-A feed is any object with ``constituents(index)``, ``symbols()``, ``eligible()``, ``sectors()``,
-``screener()`` and ``prices(symbols)``, each giving a DataFrame. A store keeps the raw tables.
+A feed is any object with ``constituents(index)``, ``symbols()``, ``eligible()``, ``sectors()`` and
+``screener()``, each giving a DataFrame, and ``prices(symbols)``, which gives for each ticker its name
+and a function that fetches its rows. A store keeps the raw tables.
 """
 
 from __future__ import annotations
@@ -72,6 +73,12 @@ class ParquetStore:
         rows = self.read(name).filter("is_latest")
         return (rows if symbol is None else rows.filter(F.col("symbol") == symbol)).select(*keys, "row_hash")
 
+    def first_changed(self, name: str, after: dt.datetime) -> dt.date | None:
+        """The first day with a version loaded or closed after a time: where the next build begins."""
+        by, at = self.table(name).by, F.lit(after).cast("timestamp")
+        moved = (F.col("loaded_at") > at) | (F.col("superseded_at") > at)
+        return self.read(name).filter(moved).agg(F.min(by)).first()[0]
+
     def append(self, name: str, rows: DataFrame) -> None:
         """SNK-6..8: snapshots are added as they come; rows loaded twice are there twice."""
         self.table(name).append(conform(rows, RAW[name]))
