@@ -130,6 +130,17 @@ def test_every_document_meets_its_successor(spark):
     assert S.fingerprint_with_next(docs(spark, []), 3).count() == 0
 
 
+def test_ids_that_are_no_numbers(spark):
+    rows = [("b", "text of b"), ("a", "text of a"), (None, "null"), ("c", None)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: r["edited_sha256"] for r in S.fingerprint_with_next(frame, 3).collect()}
+    order = [None, "a", "b", "c"]
+    by = dict(rows)
+    for i, d in enumerate(order):
+        t, after = by[d] or "", by[order[(i + 1) % 4]] or ""
+        assert got[d] == hashlib.sha256(S.edited(t, after).encode()).hexdigest()
+
+
 def test_whole_query_against_brute_force(spark, tmp_path):
     """Digests and both likenesses, with ranks counted over all texts."""
     rows = [(3 * i, raw.decode()) for i, raw in enumerate(SMALL)] + [(1, None), (4, "é" * 40), (7, text(1, 9000).decode()), (8, text(1, 8000).decode())]

@@ -52,6 +52,13 @@ def test_whole_texts_are_the_library_s(library):
     assert K.encode_texts([])[0].tolist() == []
 
 
+def test_ids_that_are_no_numbers(spark, tmp_path):
+    frame = spark.createDataFrame([("b", "x y"), ("a", "x"), (None, "")], "doc_id string, text string")
+    K.write_token_files(frame, f"file://{tmp_path}/s", parts=3)
+    got = collected(K.read_token_files(spark, f"file://{tmp_path}/s"), "doc_id", "start")
+    assert sorted(got, key=lambda r: r[1]) == [(None, 0), ("a", 1), ("b", 3)]
+
+
 def test_empty_table(spark, tmp_path):
     K.write_token_files(docs(spark, []), f"file://{tmp_path}/none", parts=3)
     assert K.read_token_files(spark, f"file://{tmp_path}/none").count() == 0

@@ -196,8 +196,8 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def id_key(doc_id: str = "doc_id") -> Column:
-    """The id as a long that orders rows, null before all."""
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
+    """The id as a long that deals rows to runs, null and what is no number before all."""
+    return F.coalesce(F.col(doc_id).try_cast("long"), F.lit(-(1 << 63)))
 
 
 def id_bounds(docs: DataFrame, pieces: int) -> list[int]:

@@ -11,9 +11,9 @@ by the filters' features.
 Defined cases: a null text is empty; an empty text has no window, thus no filter, and is like an
 empty text alone; any other text has a feature at least, as a text of fewer bytes than a window is
 one window, ended by zero bytes; equal texts have equal digests; a null doc_id sorts before all
-others, and so does one that is no number in dealing the pieces; rows that share a doc_id are ordered
+others, one that is no number next to it; rows that share a doc_id are ordered
 by text, and a table of one row follows itself. Long texts are read in segments that give the same
-features. Other columns are ignored.
+features. Rows whose ids are null or no numbers are one piece. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -238,10 +238,11 @@ def dealt_in_order(docs: DataFrame, pieces: int) -> DataFrame:
         F.when(F.col("key") == first, F.array(row(F.lit(len(bounds)), 1))).otherwise(none),
     )
     placed = keyed.withColumn("piece", piece.cast("int")).withColumn("sent", F.explode(sent))
+    # ids of one key (nulls, no numbers) are in order of the id itself
     placed = placed.select("sent.piece", "sent.tail", "doc_id", "key", "text")
     return (
         placed.repartitionById(pieces, F.col("piece"))
-        .sortWithinPartitions("piece", "tail", "key", "text")
+        .sortWithinPartitions("piece", "tail", "key", "doc_id", "text")
         .select("piece", "tail", "doc_id", "text")
     )
 

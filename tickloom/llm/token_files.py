@@ -13,7 +13,7 @@ lengths, and the payload. Parts are ranges of doc_id.
 Texts are encoded whole by the tokenizers library.
 
 Defined cases: a null text is empty and has the end id alone; a null doc_id comes first; rows that
-share a doc_id are ordered by text; a doc_id that is no number counts as null in dealing the parts; an empty table is an empty file set. Other columns are ignored.
+share a doc_id are ordered by text; rows whose ids are null or no numbers are one part; an empty table is an empty file set. Other columns are ignored.
 """
 
 from __future__ import annotations
