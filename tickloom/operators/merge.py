@@ -138,6 +138,10 @@ class Table:
         for v in old:
             fs.delete(self._at(f"manifest.{v}.json"), False)
 
+    def create(self, schema: StructType) -> None:
+        """An empty table (SNK-1); nothing but a manifest is written."""
+        self._commit({}, schema)
+
     def replace(self, rows: DataFrame) -> None:
         """The whole table (SNK-9)."""
         self._commit({p: [f] for p, f in self._write(rows).items()}, rows.schema)

@@ -234,15 +234,19 @@ def int_sector_returns(ref, index: str = INDEX) -> DataFrame:
     return daily.withColumn("trailing_return_63d", R.compound(F.col("daily_return_pct"), w, QUARTER))
 
 
-def int_ticker_relationships(ref) -> DataFrame:
-    """JN-7, JN-8, WAG-6..9, FLT-6"""
+def related(ref) -> DataFrame:
+    """JN-7, JN-8: a ticker's returns beside the market's and its sector's."""
     r = ref("int_ohlcv_pit").join(_sector_codes(ref), "ticker_key").select(
         "ticker_key", "symbol", "date", F.col("daily_return_pct").alias("r"), "sector_code"
     )
     m = ref("int_market_returns").select("date", F.col("daily_return_pct").alias("m"))
     s = ref("int_sector_returns").select("sector_code", "date", F.col("daily_return_pct").alias("s"))
-    rows = r.join(m, "date", "left").join(s, ["sector_code", "date"], "left")
-    return relationships(rows)
+    return r.join(m, "date", "left").join(s, ["sector_code", "date"], "left")
+
+
+def int_ticker_relationships(ref) -> DataFrame:
+    """WAG-6..9, FLT-6"""
+    return relationships(related(ref))
 
 
 def relationships(rows: DataFrame, n: int = YEAR, least: int | None = None) -> DataFrame:

@@ -61,7 +61,7 @@ class ParquetStore:
         """SNK-1: every table exists, empty at first."""
         for name, schema in RAW.items():
             if not self.table(name).version():
-                self.table(name).replace(self.spark.createDataFrame([], schema))
+                self.table(name).create(schema)
 
     def read(self, name: str) -> DataFrame:
         """SRC-1, SRC-12: a table that does not exist reads as empty."""
