@@ -24,13 +24,12 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MIX, mapped, materialise, packed, publish, slices, slots_for, table
+from .common import MIX, mapped, materialise, packed, publish, ranges, slices, slots_for, table
 
 WINDOW = 13
 COVERAGE = (1, 20)
@@ -113,6 +112,20 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum([0, *map(len, texts)], dtype=np.int32), np.frombuffer(b"".join(texts), np.uint8)
 
 
+def hash_words(at: np.ndarray, raw: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of words, none empty, that lie between offsets: a polynomial of their bytes, mixed."""
+    at = at.astype(np.int64)
+    sizes = np.diff(at)
+    if not len(sizes):
+        return np.zeros(0, np.uint64)
+    powers = np.cumprod(np.full(int(sizes.max()), MIX + 2 * seed & _ALL, np.uint64))
+    terms = (raw[at[0] : at[-1]].astype(np.uint64) + np.uint64(1)) * powers[ranges(np.zeros(len(sizes), np.int64), sizes)]
+    h = np.add.reduceat(terms, at[:-1] - at[0])
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(MIX)
+    return h ^ h >> np.uint64(29)
+
+
 def build_automaton(items: list[tuple[str | None, list[bytes]]], window: int = WINDOW) -> bytes:
     """The automaton of some items as a file of arrays.
 
@@ -122,9 +135,9 @@ def build_automaton(items: list[tuple[str | None, list[bytes]]], window: int = W
     """
     vocab = sorted({w for _, words in items for w in words})
     seed = 0
-    while len({xxhash.xxh64_intdigest(w, seed) for w in vocab}) < len(vocab):
+    while len(np.unique(hashes := hash_words(*_joined(vocab), seed))) < len(vocab):
         seed += 1
-    vocab.sort(key=lambda w: xxhash.xxh64_intdigest(w, seed))
+    vocab = [vocab[i] for i in np.argsort(hashes).tolist()]
     code = {w: i for i, w in enumerate(vocab)}
     coded = [[code[w] for w in words] for _, words in items]
     made = Builder()
@@ -165,7 +178,7 @@ def build_automaton(items: list[tuple[str | None, list[bytes]]], window: int = W
             "size": np.array([z for _, z in order], np.int32),
             "item_first": np.cumsum([0, *(len(found[k]) for k in order)], dtype=np.int32),
             "items": np.array([p for k in order for p in found[k]], np.int32),
-            "hashes": np.array([xxhash.xxh64_intdigest(w, seed) for w in vocab], np.uint64),
+            "hashes": np.sort(hashes),
             "word_at": word_at,
             "word_bytes": word_bytes,
             "item_at": item_at,
@@ -188,8 +201,9 @@ class Words:
 
     def hashes(self, seed: int) -> np.ndarray:
         if seed not in self._hashes:
-            h = xxhash.xxh64_intdigest
-            self._hashes[seed] = np.fromiter((h(w, seed) for w in self.distinct.to_pylist()), np.uint64, len(self.distinct))
+            n = len(self.distinct)
+            at, raw = (np.frombuffer(x, k) for x, k in zip(self.distinct.buffers()[1:], (np.int32, np.uint8))) if n else _joined([])
+            self._hashes[seed] = hash_words(at[: n + 1], raw, seed)
         return self._hashes[seed]
 
 
