@@ -144,7 +144,8 @@ class Frames:
     Sums of a frame are taken afresh, not carried from frame to frame, so no rounding builds up.
     """
 
-    ROWS = 4096
+    #: Frames of a block, few enough for the block to stay in a core's cache.
+    ROWS = 128
 
     def __init__(self, n: int):
         self.n = n
@@ -157,16 +158,22 @@ class Frames:
             yield slice(a, a + self.ROWS), [v[a : a + self.ROWS] for v in views]
 
 
+def _about_mean(x: np.ndarray, there: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Differences from each frame's mean over the rows that are there, zero elsewhere."""
+    x = np.where(there, x, 0.0)
+    x -= (x.sum(axis=1) / np.maximum(n, 1))[:, None]
+    x *= there
+    return x
+
+
 def _moments(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of frames, over the rows where neither is NaN: number, sums of squares and of products about the means."""
     there = ~(np.isnan(x) | np.isnan(y))
     n = there.sum(axis=1)
-    least = np.maximum(n, 1)[:, None]
-    dx = np.where(there, x, 0.0)
-    dx = np.where(there, dx - dx.sum(axis=1, keepdims=True) / least, 0.0)
-    dy = np.where(there, y, 0.0)
-    dy = np.where(there, dy - dy.sum(axis=1, keepdims=True) / least, 0.0)
-    return n, (dx * dx).sum(axis=1), (dy * dy).sum(axis=1), (dx * dy).sum(axis=1), there
+    dx = _about_mean(x, there, n)
+    dy = dx if y is x else _about_mean(y, there, n)
+    dot = lambda a, b: np.einsum("ij,ij->i", a, b)
+    return n, dot(dx, dx), dot(dy, dy), dot(dx, dy), there
 
 
 def _constant(x: np.ndarray, there: np.ndarray) -> np.ndarray:
