@@ -77,3 +77,16 @@ def test_stages_on_odd_tables(spark):
             assert before.columns == odd.columns
         assert P.STAGES[-1][1](spark, before, SF).count() == before.count()
     assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "simhash_dedup", "decontamination", "bpe"]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from tickloom.llm.common import shared_folder
+
+    java = N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False)))
+    session = N(conf=N(get=lambda key, default: None), sparkContext=N(master="local-cluster[2,1,1024]", _jsc=java))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)
