@@ -148,3 +148,13 @@ def test_from_feed_to_facts(spark, tmp_path):
     assert {r["restatement_count"] for r in table("fact_restatement_history").collect()} == {1, 2}
     assert table("fact_index_ohlcv").count() == 1 and table("dim_tickers").count() == 2
     assert not done.failed - {"fact_index_ohlcv"} and done.violations["int_ohlcv_pit", "t21_equal_unless_restated"] == 0
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace as N
+
+    from tickloom.sources.storage import shared_path
+
+    session = N(conf=N(get=lambda key, default: None), sparkContext=N(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_path(session, "x")
