@@ -51,3 +51,12 @@ def test_documents_keep_their_columns(spark):
 def test_empty_table(spark):
     assert L.dedup_lines(docs(spark, [])).count() == 0
     assert L.dedup_documents(docs(spark, [])).count() == 0
+
+
+def test_only_repeated_lines_are_written_aside(spark, monkeypatch):
+    """Not the keys of all lines: what is written is a row for each line that is dropped somewhere, in one small file."""
+    written, write = [], L.materialise
+    monkeypatch.setattr(L, "materialise", lambda df, label: written.append(write(df, label)) or written[-1])
+    rows = sample() + [(1000 + i, f"a line of document {i} alone, over forty characters") for i in range(200)]
+    assert collected(L.dedup_lines(docs(spark, rows)), "doc_id", "n_lines", "n_dropped", "text") == brute(rows)
+    assert [(x.columns, x.count(), len(x.inputFiles())) for x in written] == [(["h", "keeper"], 2, 1)]

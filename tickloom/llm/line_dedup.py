@@ -82,8 +82,9 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """_id, _text_hash, _lost: positions of the lines that the document with that text loses."""
-    # written once, 50 bytes a line, as the texts would be split and hashed again for the join
-    keyed = materialise(line_keys(docs, min_chars), "line-keys")
+    # the texts are split and hashed again for the join: writing the keys of all lines for it takes
+    # disk and, under file://, three processes that Hadoop forks off an executor's JVM for each file
+    keyed = line_keys(docs, min_chars)
     common = (
         keyed.select("_id", "h")
         .distinct()
@@ -93,8 +94,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         .select("h", "keeper")
     )
     # written aside, so that both sides of the join are plain exchanges: where one hash has very
-    # many rows, they can be split, each part meeting the one row of the hash
-    common = materialise(common, "common-lines")
+    # many rows, they can be split, each part meeting the one row of the hash; in files of full size
+    common = materialise(common.hint("rebalance"), "common-lines")
     return (
         keyed.join(common, "h")
         .filter(F.col("_id") < F.col("keeper"))
