@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -20,6 +21,33 @@ def test_packing_round_trip(values, block):
         assert np.array_equal(K.unpack_block(data, len(v), k, block), v[k * block : (k + 1) * block])
 
 
+def greedy(values, block):
+    """The words one after the other: each by the packing that takes most of a block's next values."""
+    words, offsets = [], [0]
+    for start in range(0, len(values), block):
+        rest = values[start : start + block]
+        while rest:
+            for s, (count, bits) in enumerate(K.PACKINGS, 1):
+                if all(v < 1 << bits for v in rest[:count]):
+                    words.append(s + sum(v << 4 + k * bits for k, v in enumerate(rest[:count])))
+                    rest = rest[count:]
+                    break
+            else:
+                words += [0, rest[0]]
+                rest = rest[1:]
+        offsets.append(len(words))
+    return np.array([len(offsets) - 1, *offsets, *words], "<u8").tobytes()
+
+
+@pytest.mark.parametrize("block", [1, 7, 60, 1024])
+@pytest.mark.parametrize("bits", [1, 4, 16, 31, 60, 64])
+def test_packing_is_greedy(bits, block):
+    rng = random.Random(bits)
+    for n in (0, 1, 59, 60, 61, 1025, 2500):
+        values = [rng.getrandbits(rng.randint(1, bits)) if rng.random() < 0.9 else 0 for _ in range(n)]
+        assert K.pack(np.array(values, np.uint64), block) == greedy(values, block)
+
+
 def test_packing_is_dense():
     assert len(K.pack(np.zeros(1024, np.uint64))) == 8 * (1 + 2 + 18)  # 60 ones-bit values a word
     assert len(K.pack(np.full(1024, 2**60, np.uint64))) == 8 * (1 + 2 + 2048)  # escapes

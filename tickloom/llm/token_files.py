@@ -60,20 +60,19 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     for _, bits in PACKINGS:
         if most >> bits:
             need += small >= small.dtype.type(1 << bits)
-    # the tightest packing that holds all of them fits everywhere; looser ones take fewer
-    whole = sum(1 for _, bits in PACKINGS if most >> bits)
-    take, selector = np.ones(n, np.int32), np.zeros(n, np.int8)
-    if whole < len(PACKINGS):
-        take, selector = np.minimum(PACKINGS[whole][0], left), np.full(n, whole + 1, np.int8)
-    for i in reversed(range(whole)):
-        count, fit = PACKINGS[i][0], np.flatnonzero(need <= i)
-        stop = np.flatnonzero(np.diff(fit) != 1)
-        stop = np.append(fit[stop], fit[-1:]) + 1  # behind each run of values that fit
-        run = np.repeat(stop, np.diff(np.concatenate(([0], np.searchsorted(fit, stop))))) - fit
-        wanted = np.minimum(count, left[fit])
-        ok = run >= wanted
-        take[fit[ok]] = wanted[ok]
-        selector[fit[ok]] = i + 1
+    # the tightest packing whose number of next values all fit; what a block lacks counts as fitting
+    need = np.pad(np.pad(need, (0, -n % block)).reshape(-1, block), ((0, 0), (0, PACKINGS[0][0] - 1)))
+    wide, reach, largest = need.ravel(), 1, sum(1 for _, bits in PACKINGS if most >> bits)
+    selector = np.zeros(wide.size, np.int8)
+    for i in reversed(range(len(PACKINGS))):
+        more = PACKINGS[i][0] - reach  # no more than reach: two windows make up the next
+        if more:
+            wide = np.append(np.maximum(wide[:-more], wide[more:]), wide[-more:])
+            reach += more
+        if i <= largest:
+            np.copyto(selector, np.int8(i + 1), where=wide <= i)
+    selector = selector.reshape(need.shape)[:, :block].ravel()[:n]
+    take = np.minimum(np.array([1] + [count for count, _ in PACKINGS], np.int32)[selector], left)
     # hop from word to word in all blocks together
     places, blocks = [], []
     at, live = starts.copy(), np.arange(len(starts))
