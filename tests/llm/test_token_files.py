@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -80,6 +81,46 @@ def test_whole_texts_are_the_library_s(library):
     assert K.encode_texts([])[0].tolist() == []
 
 
+def the_library_s(texts, library):
+    ids, sizes = K.encode_texts(texts, library[0])
+    want = [e.ids for e in library[1].encode_batch_fast(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(w) for w in want]
+    for text, at, size, w in zip(texts, (np.cumsum(sizes) - sizes).tolist(), sizes.tolist(), want):
+        assert ids[at : at + size].tolist() == w, repr(text)
+
+
+def test_steps_that_change_no_id_are_left_out(library):
+    """Blanks are not replaced, ASCII has neither NFC nor bytes; the ids are the whole file's for all code points."""
+    plain, other = (json.loads(t.to_str()) for t in K._tokenizers(K.VOCABULARY))
+    assert plain["normalizer"]["type"] == "Lowercase" and plain["pre_tokenizer"]["type"] == "Split"
+    assert [n["type"] for n in other["normalizer"]["normalizers"]] == ["NFC", "Lowercase"]
+    ascii = [chr(c) for c in range(128)]
+    texts = [" ".join(f"x{a}{b}Y '{a}{b}S 1{a}{b}2" for b in ascii) for a in ascii]
+    texts += [f"X{a}{b}'S" for a in ascii for b in ascii]  # most of them plain
+    for at in [*range(0, 0xD800, 16), *range(0xE000, 0x32000, 16), *range(0xE0000, 0xE0200, 16), 0xF0000, 0x10FFF0]:
+        texts.append(" ".join(f"a{c}b {c}! '{c}D 1{c}2" for c in map(chr, range(at, at + 16))))
+    rng = random.Random(5)
+    bits = ["<|endoftext|>", "<|ENDOFTEXT|>", " <|startoftext|>", "<|", "'RE", "'s", "\r\n", "\t ", "\x1c", "\x7f", "\u2028", "Ab", "9", "é", "e\u0301", "Σ", "İ", "."]
+    texts += ["".join(rng.choices(bits[: rng.choice([8, len(bits)])], k=rng.randrange(1, 30))) for _ in range(3000)]
+    the_library_s(texts, (K.VOCABULARY, library))
+
+
+@pytest.mark.parametrize("change", ["words of blanks", "case kept", "normalized tokens"])
+def test_a_file_of_other_steps_is_taken_as_it_is(tmp_path, change):
+    with open(K.VOCABULARY, encoding="utf-8") as f:
+        spec = json.load(f)
+    if change == "words of blanks":
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\s+|\S+"
+    elif change == "case kept":
+        del spec["normalizer"]["normalizers"][2]
+    else:
+        spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 49408, "content": "a b", "normalized": True, "special": False})
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    texts = ["a  b", "A\t\nB ABC", "é  e\u0301 A\u2028b", "\x00 a b"]
+    the_library_s(texts, (str(path), Tokenizer.from_file(str(path))))
+
+
 def test_ids_that_are_no_numbers(spark, tmp_path):
     frame = spark.createDataFrame([("b", "x y"), ("a", "x"), (None, "")], "doc_id string, text string")
     K.write_token_files(frame, f"file://{tmp_path}/s", parts=3)

@@ -10,7 +10,8 @@ lost executor's files are committed once or not at all, on any store): ``part``
 order of doc_id, ``first`` (ids of the part before the segment), ``n_ids``, the documents' ids and
 lengths, and the payload. Parts are ranges of doc_id.
 
-Texts are encoded whole by the tokenizers library.
+Texts are encoded whole by the tokenizers library, by the vocabulary file's steps but for those that
+cannot change an id (``_tokenizers``).
 
 Defined cases: a null text is empty and has the end id alone; a null doc_id comes first; rows that
 share a doc_id are ordered by text; rows whose ids are null or no numbers are one part; an empty table is an empty file set. Other columns are ignored.
@@ -18,7 +19,9 @@ share a doc_id are ordered by text; rows whose ids are null or no numbers are on
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import cache
 
@@ -165,21 +168,63 @@ def unpack_block(data: bytes, n: int, k: int, block: int = BLOCK) -> np.ndarray:
 # -- ids of texts --------------------------------------------------------------------------------
 
 
+#: The steps of ``VOCABULARY``: words are matched without any blank, then their bytes become characters.
+_NFC, _BLANKS, _LOWER = {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}
+_WORDS = {
+    "type": "Split",
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+#: ASCII that stands for itself neither as a blank nor as a byte.
+_control = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+
+
+def _sequence(kind: str, steps: list[dict]) -> dict:
+    return {"type": "Sequence", kind: steps}
+
+
 @cache
-def _tokenizer(path: str):
+def _tokenizers(path: str) -> tuple:
+    """The library's tokenizers for texts of printable ASCII and blanks, and for all others.
+
+    Both are the file's without steps that change no id. Blanks need not become spaces, as the words'
+    pattern drops them all; ASCII is in normal form C, and its printable bytes are their own
+    characters. Special tokens are found in the raw text. A file of other steps is taken as it is.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
-    whole.no_truncation()
-    whole.no_padding()
-    return whole
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    plain = other = {}
+    if (
+        spec["normalizer"] == _sequence("normalizers", [_NFC, _BLANKS, _LOWER])
+        and spec["pre_tokenizer"] == _sequence("pretokenizers", [_WORDS, _BYTES])
+        and not any(t["normalized"] for t in spec["added_tokens"])
+    ):
+        plain = {"normalizer": _LOWER, "pre_tokenizer": _WORDS}
+        other = {"normalizer": _sequence("normalizers", [_NFC, _LOWER])}
+    made = []
+    for steps in (plain, other):
+        tokenizer = Tokenizer.from_str(json.dumps(spec | steps))
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        made.append(tokenizer)
+    return tuple(made)
 
 
 def encode_texts(texts: list[str | None], vocabulary: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of the whole texts and how many each has, by the tokenizers library."""
-    coded = _tokenizer(vocabulary).encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
-    ids = [np.array(e.ids, np.int32) for e in coded]
+    plain, other = _tokenizers(vocabulary)
+    texts = [t or "" for t in texts]
+    is_plain = np.array([t.isascii() and not _control.search(t) for t in texts], bool)
+    ids: list = [None] * len(texts)
+    for tokenizer, mine in ((plain, np.flatnonzero(is_plain).tolist()), (other, np.flatnonzero(~is_plain).tolist())):
+        coded = tokenizer.encode_batch_fast([texts[i] for i in mine], add_special_tokens=False)
+        for i, e in zip(mine, coded):
+            ids[i] = np.array(e.ids, np.int32)
     return np.concatenate([*ids, np.zeros(0, np.int32)]), np.array([len(x) for x in ids], np.int64)
 
 
